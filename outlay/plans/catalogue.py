@@ -42,7 +42,7 @@ def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_spend_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cents(_audit(spark, sf_dir), "total_spend_eur").withColumn("rate", F.round("rate", 6))
+    return _cents(_audit(spark, sf_dir), "total_spend_eur").withColumn("rate", F.round("rate", 9))
 
 
 # --- sources and typing ---------------------------------------------------------------------
@@ -238,7 +238,7 @@ def dq_eur_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "brand",
         "channel_type",
         "n_currencies",
-        F.round("rate", 6).alias("rate"),
+        F.round("rate", 9).alias("rate"),
         (F.col("rate") == 1.0).alias("is_one"),
     )
 

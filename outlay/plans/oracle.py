@@ -171,7 +171,7 @@ _SELECTS = {
     "daily_spend": "select * from spend",
     "daily_spend_audit": f"""
         select {_GROUP}, round(total_spend_eur, 2) as total_spend_eur, total_metrics_cost,
-               round(rate, 6) as rate, currency, n_currencies, n_missing_rate
+               round(rate, 9) as rate, currency, n_currencies, n_missing_rate
         from audit""",
     "daily_spend_all_matches": f"""
         select {_GROUP}, round(sum(metrics_cost_micros / rate), 2) as total_spend_eur
@@ -247,7 +247,7 @@ _SELECTS = {
                round(expected_spend_eur, 2) as expected_spend_eur, comparable
         from mismatches""",
     "dq_eur_rate": f"""
-        select {_GROUP}, n_currencies, round(rate, 6) as rate, rate = 1 as is_one
+        select {_GROUP}, n_currencies, round(rate, 9) as rate, rate = 1 as is_one
         from audit where currency = 'EUR'""",
     "dq_report": _REPORT_CHECKS,
     "daily_spend_report": "select * from report",
