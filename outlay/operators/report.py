@@ -40,9 +40,12 @@ def spend_report(
     )
 
 
-def report_lines(report: DataFrame) -> DataFrame:
+def report_lines(report: DataFrame, text_amounts: bool = False) -> DataFrame:
     """Right-aligned lines (line_no, line); line 0 is the header.
 
+    Laid out like a printed frame: one space between columns, and one more before a column of
+    numbers, which the amounts are unless ``text_amounts`` says otherwise.
+
     Needs the widest value of each column first: one row of lengths, read from the ranked report,
     which is checkpointed already.
     """
@@ -52,8 +55,10 @@ def report_lines(report: DataFrame) -> DataFrame:
     longest = report.agg(*[F.max(F.length(text)).alias(c) for c, text in shown.items()]).first()
     width = {c: max(len(c), longest[c] or 0) for c in COLUMNS}
 
+    gap = "" if text_amounts else " "
+
     def line(cells: list[Column]) -> Column:
-        return F.concat_ws(" ", *cells).alias("line")
+        return F.concat_ws(" ", *cells[:-1], F.concat(F.lit(gap), cells[-1])).alias("line")
 
     header = report.sparkSession.range(1).select(
         F.lit(0).cast("bigint").alias("line_no"),

@@ -89,6 +89,6 @@ def write(
         date_format=style.date_format,
     )
     if data_format == "lines":
-        write_lines(report_lines(report), path)
+        write_lines(report_lines(report, text_amounts=style.text_order), path)
     else:
         write_report(report, path, data_format)

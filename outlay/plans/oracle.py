@@ -265,7 +265,7 @@ _SELECTS = {
     "report_lines": """
         select cast(rank as bigint) as line_no,
                lpad(segments_date, w1, ' ') || ' ' || lpad(country, w2, ' ') || ' '
-               || lpad(brand, w3, ' ') || ' ' || lpad(channel_type, w4, ' ') || ' '
+               || lpad(brand, w3, ' ') || ' ' || lpad(channel_type, w4, ' ') || '  '
                || lpad(total_spend_eur, w5, ' ') as line
         from shown, widths""",
 }
