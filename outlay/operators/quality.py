@@ -52,8 +52,12 @@ def orphan_customers(costs: DataFrame, accounts: DataFrame) -> DataFrame:
 
 
 def orphan_customers_except(costs: DataFrame, accounts: DataFrame) -> DataFrame:
-    """The same as a set difference, where a NULL account id does cover NULL customer ids."""
-    return costs.select("customer_id").subtract(
+    """The same as a set difference, where a NULL account id does cover NULL customer ids.
+
+    Spark joins before it removes repeats; making the ids distinct first keeps the costs
+    themselves out of that join.
+    """
+    return costs.select("customer_id").distinct().subtract(
         accounts.select(F.col("account_id").alias("customer_id"))
     )
 
