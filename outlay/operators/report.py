@@ -60,7 +60,7 @@ def report_lines(report: DataFrame, text_amounts: bool = False) -> DataFrame:
     def line(cells: list[Column]) -> Column:
         return F.concat_ws(" ", *cells[:-1], F.concat(F.lit(gap), cells[-1])).alias("line")
 
-    header = report.sparkSession.range(1).select(
+    header = report.sparkSession.range(1, numPartitions=1).select(
         F.lit(0).cast("bigint").alias("line_no"),
         line([F.lit(c.rjust(width[c])) for c in COLUMNS]),
     )

@@ -15,6 +15,7 @@ from outlay.operators.joins import BROADCAST_BYTES, fits_broadcast
 from outlay.sources.schemas import SPEND_KEY
 
 _MICROS, _ROWS, _FIRST = "_micros", "_rows", "_first"
+_SPEND, _RATED, _UNRATED, _RATE_SUM = "_spend", "_rated", "_unrated", "_rate_sum"
 
 
 def spend_cells(
@@ -55,14 +56,34 @@ def spend_cells(
 def price_cells(
     cells: DataFrame, rates: DataFrame, span: fx.Span, every_match: bool = False
 ) -> DataFrame:
-    """Add ``rate`` to the cells: the first matching quote, or one row per matching quote."""
+    """Convert each cell with its first matching quote, or once with every matching quote.
+
+    Still one row per group and currency. Besides the amounts it has what a mean rate over cost
+    rows needs: the rows with a rate, their rates' sum, and the rows without.
+    """
     priced = (
         # Left to adaptive execution (limit 0): both sides are summed up already.
         fx.with_every_rate(cells, rates, span, limit=0)
         if every_match
         else fx.with_first_rate(cells, rates, span, limit=0)
     )
-    return priced.withColumn("rate", fx.base_rate(F.col("currency"), F.col("rate")))
+    rate = fx.base_rate(F.col("currency"), F.col("rate"))
+    rated_rows = F.when(rate.isNotNull(), F.col(_ROWS)).otherwise(F.lit(0))
+    amounts = {
+        _MICROS: F.col(_MICROS),
+        _SPEND: fx.in_base_currency(F.col(_MICROS), rate),
+        _RATED: rated_rows,
+        _RATE_SUM: rate * rated_rows,
+        _UNRATED: F.col(_ROWS) - rated_rows,
+    }
+    priced = priced.select(
+        *SPEND_KEY, "currency", _FIRST, *[value.alias(name) for name, value in amounts.items()]
+    )
+    if not every_match:
+        return priced
+    return priced.groupBy(*SPEND_KEY, "currency").agg(
+        F.min(_FIRST).alias(_FIRST), *[F.sum(name).alias(name) for name in amounts]
+    )
 
 
 def audit_spend(priced: DataFrame, zero_fill: bool = False) -> DataFrame:
@@ -71,18 +92,15 @@ def audit_spend(priced: DataFrame, zero_fill: bool = False) -> DataFrame:
     ``rate`` is the mean over cost rows that have one, ``currency`` that of the first row with
     one. A group without any rate has a NULL total, or 0 with ``zero_fill``.
     """
-    total = F.sum(fx.in_base_currency(F.col(_MICROS), F.col("rate")))
-    rated_rows = F.when(F.col("rate").isNotNull(), F.col(_ROWS))
+    total = F.sum(_SPEND)
     first_seen = F.when(F.col("currency").isNotNull(), F.col(_FIRST))
     return priced.groupBy(*SPEND_KEY).agg(
         (F.coalesce(total, F.lit(0.0)) if zero_fill else total).alias("total_spend_eur"),
         F.sum(_MICROS).alias("total_metrics_cost"),
-        F.try_divide(F.sum(F.col("rate") * rated_rows), F.sum(rated_rows)).alias("rate"),
+        F.try_divide(F.sum(_RATE_SUM), F.sum(_RATED)).alias("rate"),
         F.min_by("currency", first_seen).alias("currency"),
-        F.count_distinct("currency").alias("n_currencies"),
-        F.sum(F.when(F.col("rate").isNull(), F.col(_ROWS)).otherwise(F.lit(0))).alias(
-            "n_missing_rate"
-        ),
+        F.count("currency").alias("n_currencies"),
+        F.sum(_UNRATED).alias("n_missing_rate"),
     )
 
 

@@ -61,7 +61,7 @@ def run(
     raw_rates = staged(read_csv(spark, rates_path, na_tokens), "rates")
 
     shared_dir(spark)
-    # Both reports are a few rows; checkpointing them keeps later looks from running the checks again.
+    # The reports are a few rows; a checkpoint keeps later looks from running the checks again.
     before = quality.input_report(raw_costs, raw_accounts, raw_rates).checkpoint()
     if gate:
         quality.enforce(before, ignore)

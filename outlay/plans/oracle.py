@@ -1,4 +1,4 @@
-"""The same queries as plain SQL for DuckDB, written from the semantics, not from the Spark plans."""
+"""The same queries as plain SQL for DuckDB, in the straightforward form of each."""
 
 _VIEWS = """
 costs as (
@@ -115,8 +115,9 @@ shown as (
   union all
   select 0, 'segments_date', 'country', 'brand', 'channel_type', 'total_spend_eur'),
 widths as (
-  select max(length(segments_date))::integer as w1, max(length(country))::integer as w2, max(length(brand))::integer as w3,
-         max(length(channel_type))::integer as w4, max(length(total_spend_eur))::integer as w5
+  select max(length(segments_date))::integer as w1, max(length(country))::integer as w2,
+         max(length(brand))::integer as w3, max(length(channel_type))::integer as w4,
+         max(length(total_spend_eur))::integer as w5
   from shown)
 """
 

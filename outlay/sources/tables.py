@@ -64,14 +64,15 @@ def costs_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(error & (F.col("value") < 1), "n/a")
         .otherwise(_micros().cast("string"))
         .alias("metrics_cost_micros"),
-        F.when(error & (F.col("value") < 2), "never").otherwise(extracted).alias("last_extracted_at"),
+        F.when(error & (F.col("value") < 2), "never")
+        .otherwise(extracted)
+        .alias("last_extracted_at"),
         F.col("event_id").alias("src_ord"),
     )
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = F.broadcast(load(spark, sf_dir, "nation"))  # 25 and 5 rows at every scale
-    region = F.broadcast(load(spark, sf_dir, "region"))
+    nation, region = load(spark, sf_dir, "nation"), load(spark, sf_dir, "region")
     return (
         load(spark, sf_dir, "customer")
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
