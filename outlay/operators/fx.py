@@ -12,11 +12,14 @@ clipped to the span of days that occur in the costs.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from outlay.operators.joins import BROADCAST_BYTES, fits_broadcast, left_lookup
+from outlay.operators.joins import BROADCAST_BYTES, fits_broadcast, left_join, left_lookup
 from outlay.sources.schemas import BASE_CURRENCY
 
 Span = tuple[Column, Column]
 
+# Largest list of quotes, in measured bytes, that each cost may be compared with.
+COMPARE_BYTES = 1024 * 1024
+
 
 def day_span(costs: DataFrame) -> Span:
     """First and last day of the costs, as scalar subqueries over that single column."""
@@ -97,18 +100,18 @@ def with_every_rate_broadcast(
 ) -> DataFrame:
     """:func:`with_every_rate` on the unrolled intervals themselves, for a small list of quotes.
 
-    Each cost is compared with all quotes of its currency, so the list is broadcast only where it
-    measures at most ``limit`` bytes; beyond that the day-grain join takes over.
+    Each cost is compared with all quotes of its currency, so this holds for lists of at most
+    ``COMPARE_BYTES`` (and ``limit``) only; beyond that the day-grain join takes over.
     """
     quotes = usable_quotes(rates).select(
         F.col("currency").alias("_currency"), "rate", "valid_from", "valid_to"
     )
-    if not fits_broadcast(quotes, limit):
+    if not fits_broadcast(quotes, min(limit, COMPARE_BYTES)):
         return with_every_rate(costs, rates, span, limit)
     covered = (F.col("currency") == F.col("_currency")) & F.col("segments_date").between(
         F.col("valid_from"), F.col("valid_to")
     )
-    return costs.join(F.broadcast(quotes), covered, "left").drop("_currency")
+    return left_join(costs, quotes, covered, small=True).drop("_currency")
 
 
 def base_rate(currency: Column, looked_up: Column, base: str = BASE_CURRENCY) -> Column:

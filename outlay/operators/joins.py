@@ -23,15 +23,19 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return limit > 0 and measured_bytes(df) <= limit
 
 
+def left_join(facts: DataFrame, lookup: DataFrame, on: Column, small: bool) -> DataFrame:
+    """Left outer join that keeps every fact: broadcast if ``small``, else a shuffled merge join.
+
+    The choice is spelled out either way. Spark's own estimate ignores how much an unrolled table
+    grows and may broadcast one that is far too large. In the shuffled join, adaptive execution
+    splits the partitions of hot keys; ``on`` must not compare columns that either side is already
+    grouped by, or that side has no shuffle to split.
+    """
+    return facts.join(F.broadcast(lookup) if small else lookup.hint("merge"), on, "left")
+
+
 def left_lookup(
     facts: DataFrame, lookup: DataFrame, on: Column, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """Left outer join that keeps every fact.
-
-    A lookup table of at most ``limit`` bytes is broadcast. A larger one is joined by a plain
-    shuffle, where adaptive execution splits the partitions of hot keys; ``on`` must not compare
-    columns the lookup table is already grouped by, or its side has no shuffle to split against.
-    """
-    if fits_broadcast(lookup, limit):
-        lookup = F.broadcast(lookup)
-    return facts.join(lookup, on, "left")
+    """:func:`left_join` that broadcasts a lookup table of at most ``limit`` measured bytes."""
+    return left_join(facts, lookup, on, fits_broadcast(lookup, limit))

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outlay.operators import fx
-from outlay.operators.accounts import with_accounts
-from outlay.operators.joins import BROADCAST_BYTES, fits_broadcast
+from outlay.operators.accounts import same_account
+from outlay.operators.joins import BROADCAST_BYTES, fits_broadcast, left_join
 from outlay.sources.schemas import SPEND_KEY
 
 _MICROS, _ROWS, _FIRST = "_micros", "_rows", "_first"
@@ -30,7 +30,8 @@ def spend_cells(
     which leaves a hot customer with one row per day.
     """
     attributes = accounts.select("account_id", "currency", *SPEND_KEY[1:])
-    if fits_broadcast(attributes, limit):
+    small = fits_broadcast(attributes, limit)
+    if small:
         part = costs.select(
             "segments_date",
             "customer_id",
@@ -38,14 +39,13 @@ def spend_cells(
             F.lit(1).cast("bigint").alias(_ROWS),
             F.col("src_ord").alias(_FIRST),
         )
-        attributes = F.broadcast(attributes)
     else:
         part = costs.groupBy("segments_date", "customer_id").agg(
             F.sum("metrics_cost_micros").alias(_MICROS),
             F.count(F.lit(1)).alias(_ROWS),
             F.min("src_ord").alias(_FIRST),
         )
-    joined = with_accounts(part, attributes, limit=0)
+    joined = left_join(part, attributes, same_account(), small)
     if drop_null_keys:
         joined = joined.dropna(subset=SPEND_KEY)
     return joined.groupBy(*SPEND_KEY, "currency").agg(
@@ -62,7 +62,7 @@ def price_cells(
     rows needs: the rows with a rate, their rates' sum, and the rows without.
     """
     priced = (
-        # Left to adaptive execution (limit 0): both sides are summed up already.
+        # Shuffled without a look at the size (limit 0): both sides are summed up already.
         fx.with_every_rate(cells, rates, span, limit=0)
         if every_match
         else fx.with_first_rate(cells, rates, span, limit=0)

@@ -8,7 +8,7 @@ from outlay.operators.accounts import with_accounts
 from outlay.operators.joins import fits_broadcast, measured_bytes
 from outlay.operators.latest import keep_latest_max_by
 from outlay.plans import catalogue
-from outlay.plans.daily_spend import NEWEST, daily_spend, latest_costs
+from outlay.plans.daily_spend import NEWEST, SpendOptions, daily_spend, latest_costs
 from outlay.sources import tables
 from outlay.sources.schemas import COST_KEY
 from tests.frames import accounts, at, d, rates
@@ -74,7 +74,7 @@ def test_aggregate_form_combines_before_the_shuffle(spark):
 
 def test_flagship_broadcasts_small_sides_and_shuffles_costs_once(spark):
     text = plan(catalogue.queries()["daily_spend"](spark, SF))
-    assert "SortMergeJoin" not in text and "CartesianProduct" not in text
+    assert "BroadcastHashJoin [customer_id" in text and "CartesianProduct" not in text
     assert "NestedLoop" not in text and "Python" not in text
     assert text.count("Exchange hashpartitioning(campaign_id") == 1
     # Only the columns in use are read.
@@ -131,6 +131,13 @@ def test_copies_of_a_hot_key_are_split(spark, no_broadcast):
     assert flagged.filter("is_duplicate and customer_id = 'hot'").count() == 66_667
 
 
+def test_unrolled_quotes_are_never_broadcast_unmeasured(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="1g")
+    for options in (SpendOptions(), SpendOptions(every_match=True)):
+        text = plan(daily_spend(*catalogue._inputs(spark, SF), options))
+        assert "SortMergeJoin [currency" in text
+
+
 def test_size_check(spark):
     df = spark.createDataFrame([("abcd", 1), (None, 2)], "a string, n int")
     assert measured_bytes(df) == 2 * 2 * 16 + 4
