@@ -52,8 +52,15 @@ def test_na_tokens(spark):
 
 @pytest.mark.parametrize(
     ("x", "two", "even"),
-    [(2.5, "2.50", "2"), (3.5, "3.50", "4"), (-2.5, "-2.50", "-2"), (1e9, "1000000000.00", "1000000000"), (None, None, None), (0.125, "0.13", "0")],
-)
+    [
+        (2.5, "2.50", "2"),
+        (3.5, "3.50", "4"),
+        (-2.5, "-2.50", "-2"),
+        (1e9, "1000000000.00", "1000000000"),
+        (0.125, "0.13", "0"),
+        (None, None, None),
+    ],
+)
 def test_number_text(spark, x, two, even):
     df = spark.createDataFrame([(x,)], "x double")
     assert tuple(df.select(fixed2(F.col("x")), half_even(F.col("x"))).first()) == (two, even)

@@ -9,7 +9,11 @@ from tests.frames import rows
 
 def data(spark, n=4000):
     rng = random.Random(3)
-    raw = [(None if rng.random() < 0.1 else "hot" if rng.random() < 0.5 else str(rng.randrange(40)), rng.randrange(100), i) for i in range(n)]
+
+    def key():
+        return rng.choice([None, *["hot"] * 5, *[str(rng.randrange(40)) for _ in range(4)]])
+
+    raw = [(key(), rng.randrange(100), i) for i in range(n)]
     return raw, spark.createDataFrame(raw, "k string, v int, i int").repartition(7)
 
 

@@ -49,7 +49,15 @@ def test_orphans(spark):
 
 
 def test_duplicates_as_groups_and_as_rows(spark):
-    c = costs(spark, (1, "a", "x", 1, 3), (1, "a", "x", 2, 3), (1, "a", "x", 2, 4), (1, None, "x", 5), (1, None, "x", 6), (2, "a", "x", 1))
+    c = costs(
+        spark,
+        (1, "a", "x", 1, 3),
+        (1, "a", "x", 2, 3),
+        (1, "a", "x", 2, 4),
+        (1, None, "x", 5),
+        (1, None, "x", 6),
+        (2, "a", "x", 1),
+    )
     assert rows(quality.duplicate_groups(c), "customer_id", "n") == [("a", 2), (None, 2)]
     flagged = quality.flag_duplicates(c)
     assert rows(flagged, "src_ord", "is_duplicate") == [
@@ -81,10 +89,17 @@ def test_mixed_currencies_mismatch_but_are_not_reported(spark):
 
 
 def test_output_report(spark):
-    schema = "total_spend_eur double, total_metrics_cost bigint, rate double, currency string, n_currencies bigint, n_missing_rate bigint"
+    groups = [
+        (5.0, 10, 2.0, "USD", 1, 0),
+        (6.0, 10, 2.0, "USD", 1, 0),
+        (None, 10, None, "SEK", 1, 1),
+        (5.0, 10, 2.0, "EUR", 1, 0),
+        (1.0, 1, None, None, 0, 0),
+    ]
     audit = spark.createDataFrame(
-        [(5.0, 10, 2.0, "USD", 1, 0), (6.0, 10, 2.0, "USD", 1, 0), (None, 10, None, "SEK", 1, 1), (5.0, 10, 2.0, "EUR", 1, 0), (1.0, 1, None, None, 0, 0)],
-        schema,
+        groups,
+        "total_spend_eur double, total_metrics_cost bigint, rate double, currency string, "
+        "n_currencies bigint, n_missing_rate bigint",
     )
     assert checks(quality.output_report(audit)) == {
         "spend_matches_cost_over_rate": (False, 1),

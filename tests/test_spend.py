@@ -84,7 +84,11 @@ def brute_force(c, acc, quotes, every_match):
             if a[1] == "EUR":
                 found = [1.0]
             else:
-                found = [r for cur, base, r, lo, hi in quotes if cur == a[1] and base == "EUR" and lo <= day <= hi] or [None]
+                found = [
+                    r
+                    for cur, base, r, lo, hi in quotes
+                    if cur == a[1] and base == "EUR" and lo <= day <= hi
+                ] or [None]
             for rate in found if every_match else found[:1]:
                 groups[(d(day), a[4], a[3], a[2])].append((i, a[1], micros, rate))
     result = {}
@@ -110,11 +114,16 @@ def test_against_brute_force(spark, every_match, limit):
     for i in range(1500):
         customer = "hot" if rng.random() < 0.35 else rng.choice("abcdefgh")
         c.append((rng.randrange(1, 12), customer, rng.choice("xyz"), rng.randrange(1, 10**7), rng.randrange(6), i))
-    acc = [
-        (k, rng.choice(["EUR", "USD", "BRL", "SEK", None]), rng.choice(["on", "off"]), rng.choice(["p", None]), rng.choice(["com", "de"]))
-        for k in ["hot", *"abcdefg"]
-    ] + [("a", "USD", "on", "p", "com")]
-    quotes = [("USD", "EUR", 1.1, 1, 8), ("USD", "EUR", 1.3, 5, 9), ("BRL", "GBP", 9.0, 1, 12), ("BRL", "EUR", 5.5, 1, 12), ("EUR", "EUR", 1.0, 1, 12)]
+    choices = (["EUR", "USD", "BRL", "SEK", None], ["on", "off"], ["p", None], ["com", "de"])
+    acc = [(k, *[rng.choice(c) for c in choices]) for k in ["hot", *"abcdefg"]]
+    acc.append(("a", "USD", "on", "p", "com"))
+    quotes = [
+        ("USD", "EUR", 1.1, 1, 8),
+        ("USD", "EUR", 1.3, 5, 9),
+        ("BRL", "GBP", 9.0, 1, 12),
+        ("BRL", "EUR", 5.5, 1, 12),
+        ("EUR", "EUR", 1.0, 1, 12),
+    ]
     audit = spend_audit(
         costs(spark, *[r[:5] for r in c]).repartition(5),
         accounts(spark, *acc),
