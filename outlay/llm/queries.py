@@ -4,20 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from outlay.llm import exact_dedup, warc
+from outlay.llm import exact_dedup, fingerprints, packing, simple8b, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents, against their edited texts and their successors."""
+    return fingerprints.edit_likeness(_table(spark, sf_dir, "documents"))
+
+
 def op3_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages through WARC archives and back."""
     return warc.through_archives(_table(spark, sf_dir, "pages"))
 
 
+def op4_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents through Simple-8b files and back."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return simple8b.through_files(_table(spark, sf_dir, "documents"), path, end_id=2)
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 1024 ids."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(_table(spark, sf_dir, "documents"), path, end_id=0)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal documents."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -27,7 +45,9 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_warc_segments, op7_exact_dedup)}
+    return {f.__name__: f for f in (
+        op1_fingerprints, op3_warc_segments, op4_simple8b, op5_packing, op7_exact_dedup,
+    )}
 
 
 # Base 32 of a SHA-1: every five hex digits are four characters.
