@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from outlay.llm import exact_dedup, fingerprints, packing, simple8b, warc
+from outlay.llm import exact_dedup, fingerprints, packing, simple8b, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), path, end_id=0)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return toxicity.score(docs, labels).select("doc_id", "held_out", "score", "predicted")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal documents."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -46,7 +52,8 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_fingerprints, op3_warc_segments, op4_simple8b, op5_packing, op7_exact_dedup,
+        op1_fingerprints, op3_warc_segments, op4_simple8b, op5_packing, op6_toxicity,
+        op7_exact_dedup,
     )}
 
 
