@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from outlay.llm import exact_dedup, fingerprints, packing, simple8b, toxicity, warc
+from outlay.llm import exact_dedup, fingerprints, ngram_join, packing, simple8b, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,10 +50,17 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of 4-word shingles are alike to 85 %."""
+    docs = _table(spark, sf_dir, "documents")
+    found = ngram_join.similar_groups(docs, k=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_fingerprints, op3_warc_segments, op4_simple8b, op5_packing, op6_toxicity,
-        op7_exact_dedup,
+        op7_exact_dedup, op9_ngram_join,
     )}
 
 
