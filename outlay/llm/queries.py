@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from outlay.llm import exact_dedup, fingerprints, ngram_join, packing, simple8b, toxicity, warc
+from outlay.llm import exact_dedup, fingerprints, ngram_join, packing, simple8b, substrings, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,12 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edit_likeness(_table(spark, sf_dir, "documents"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages that occur more than once, wherever they occur."""
+    found = substrings.repeated_passages(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "end", "n_words", "removed", "cluster_id", "keep_id")
+
+
 def op3_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages through WARC archives and back."""
     return warc.through_archives(_table(spark, sf_dir, "pages"))
@@ -59,7 +65,7 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_fingerprints, op3_warc_segments, op4_simple8b, op5_packing, op6_toxicity,
+        op1_fingerprints, op2_substring_dedup, op3_warc_segments, op4_simple8b, op5_packing, op6_toxicity,
         op7_exact_dedup, op9_ngram_join,
     )}
 

@@ -31,8 +31,9 @@ def _powers(base: int, n: int) -> np.ndarray:
     return known
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For all words of all texts: hash, text, first byte and byte after the last, in the text.
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, ...]:
+    """For all words of all texts: hash, text, first byte and byte after the last, in the text, and
+    number of the line, counted through all texts.
 
     Words are runs of anything but ASCII white space, with A-Z in lower case. The running sum of
     bytes times powers makes a word's hash a difference of two sums, whatever its length.
@@ -48,7 +49,8 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     value = (sums[ends] - sums[starts]) * _powers(_INVERSE, len(data) + 1)[starts]
     firsts = np.cumsum([0] + [len(r) + 1 for r in raw])
     owner = np.searchsorted(firsts, starts, side="right") - 1
-    return mix(value), owner, starts - firsts[owner], ends - firsts[owner]
+    lines = np.searchsorted(np.flatnonzero(data == 0x0A), starts)
+    return mix(value), owner, starts - firsts[owner], ends - firsts[owner], lines
 
 
 def rolled(words: np.ndarray, k: int) -> np.ndarray:
@@ -67,7 +69,7 @@ def shingle_sets(texts: list[str], k: int) -> list[np.ndarray]:
 
     A text with fewer words has its whole sequence as its one shingle, one without words none.
     """
-    words, owner, _, _ = word_hashes(texts)
+    words, owner, *_ = word_hashes(texts)
     counts = np.bincount(owner, minlength=len(texts))
     firsts = np.cumsum(counts) - counts
     hashes = rolled(words, k)
