@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from outlay.llm import exact_dedup, fingerprints, ngram_join, packing, simple8b, substrings, toxicity, warc
+from outlay.llm import (
+    exact_dedup,
+    fingerprints,
+    ngram_join,
+    packing,
+    pieces,
+    simple8b,
+    substrings,
+    toxicity,
+    transcripts,
+    warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +67,12 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces and back."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.encode_and_decode(_table(spark, sf_dir, "documents"), path)
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of 4-word shingles are alike to 85 %."""
     docs = _table(spark, sf_dir, "documents")
@@ -63,10 +80,15 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op10_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns recovered from raw transcripts of all conversations."""
+    return transcripts.canonical(_table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_fingerprints, op2_substring_dedup, op3_warc_segments, op4_simple8b, op5_packing, op6_toxicity,
-        op7_exact_dedup, op9_ngram_join,
+        op7_exact_dedup, op8_sentencepiece, op9_ngram_join, op10_transcripts,
     )}
 
 
