@@ -15,7 +15,7 @@ from outlay.llm.tokens import crc, encoder
 
 LENGTH = 1024
 GROUP = 4096  # documents whose ends are packed together
-ROWS_AT_ONCE = 64
+ROWS_AT_ONCE = 256
 
 
 def fullest(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> np.ndarray:

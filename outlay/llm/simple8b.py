@@ -26,7 +26,7 @@ MAGIC = b"S8B1"
 HEAD = struct.Struct("<4sIIQQQ")  # magic, partition, record in it, documents, ids, words
 RECORD_IDS = 1 << 17  # ids after which a record ends; a document is never split
 RECORDS_PER_FILE = 16
-ROWS_AT_ONCE = 64
+ROWS_AT_ONCE = 256
 
 
 def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -10,6 +10,7 @@ import json
 import os
 import zlib
 from collections.abc import Iterable
+from itertools import chain
 
 import numpy as np
 import regex
@@ -18,7 +19,9 @@ import regex
 BYTE_WORDS = (
     r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 )
-KNOWN = 600_000  # pieces kept at most by a process; beyond, it starts anew
+# The words of the tokenizer that drops white space.
+SPACED_WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"""
+KNOWN = 1_000_000  # pieces kept at most by a process; beyond, it starts anew
 
 
 class Encoder:
@@ -44,10 +47,9 @@ class Encoder:
             self.word_ends = np.zeros(size, bool)
             for piece, number in spec["model"]["vocab"].items():
                 self.word_ends[number] = piece.endswith(ends)
-        self.words: dict[str, bytes] = {}  # words of byte-level BPE
-        self.pieces: dict[str, bytes] = {}  # what stands between two spaces
-        self.pattern = regex.compile(BYTE_WORDS)
-        self.odd_space = regex.compile(r" \s|[^\S ] ")
+        self.words: dict[str, bytes] = {}  # what BPE is applied to
+        self.pieces: dict[str, bytes | bool] = {}  # what stands between two spaces
+        self.pattern = regex.compile(BYTE_WORDS if self.byte_level else SPACED_WORDS)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         if self.byte_level:
@@ -61,32 +63,40 @@ class Encoder:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.int64)
 
     def _byte_level(self, texts: list[str]) -> list[np.ndarray]:
-        """Words start at a space between two non-spaces; elsewhere spaces may belong together."""
-        if len(self.pieces) > KNOWN or len(self.words) > KNOWN:
-            self.pieces, self.words = {}, {}
-        split = [None if self.odd_space.search(t) else t.split(" ") for t in texts]
+        """Words start at a space between two non-spaces. Where other white space is next to a
+        space (a piece that is empty, starts or ends with one), the text is encoded as a whole."""
+        self._forget()
+        known, words, find = self.pieces, self.words, self.pattern.findall
+        split = [t.split(" ") for t in texts]
         # All pieces but a text's first carry the space before them.
-        new: dict[str, list[str]] = {}
-        known, find = self.pieces, self.pattern.findall
-        firsts = {pieces[0]: find(pieces[0]) for pieces in split if pieces}
-        for pieces in split:
-            for piece in pieces[1:] if pieces else ():
-                if piece not in known and piece not in new:
-                    new[piece] = find(" " + piece)
-        self._learn_words(w for group in (new, firsts) for found in group.values() for w in found)
-        words = self.words
+        # A batch's own table is small enough to stay close to the processor.
+        ids = dict.fromkeys(chain.from_iterable(pieces[1:] for pieces in split))
+        ids = {p: known.get(p) for p in ids}
+        new = {}
+        for piece in [p for p, found in ids.items() if found is None]:
+            if not piece or piece[0].isspace() or piece[-1].isspace():
+                ids[piece] = known[piece] = False
+            else:
+                new[piece] = find(" " + piece)
+        firsts = {pieces[0]: find(pieces[0]) for pieces in split}
+        self._learn_words(chain.from_iterable(chain(new.values(), firsts.values())))
         for piece, found in new.items():
-            known[piece] = b"".join([words[w] for w in found])
-        out = []
+            ids[piece] = known[piece] = b"".join([words[w] for w in found])
+        out, get = [], ids.__getitem__
         for text, pieces in zip(texts, split, strict=True):
-            if pieces is None:
+            first, *rest = pieces
+            parts = list(map(get, rest))
+            if False in parts or first[-1:].isspace():
                 out.append(self._whole(text))
             else:
-                first = [words[w] for w in firsts[pieces[0]]]
-                ids = b"".join([*first, *[known[p] for p in pieces[1:]]])
-                out.append(np.frombuffer(ids, np.uint32))
+                head = [words[w] for w in firsts[first]]
+                out.append(np.frombuffer(b"".join(head + parts), np.uint32))
         return out
 
+    def _forget(self) -> None:
+        if len(self.pieces) > KNOWN or len(self.words) > KNOWN:
+            self.pieces, self.words = {}, {}
+
     def _learn_words(self, found: Iterable[str]) -> None:
         """Unknown words, each as a line of its own: a line break is a word by itself."""
         new = [w for w in dict.fromkeys(found) if w not in self.words]
@@ -103,38 +113,53 @@ class Encoder:
                 for word in some:
                     self.words[word] = self._whole(word).astype(np.uint32).tobytes()
                 continue
-            at = 0
-            for word, cut in zip(some, cuts, strict=True):
-                self.words[word] = ids[at:cut].astype(np.uint32).tobytes()
-                at = cut + 1
+            data, at = ids.astype(np.uint32).tobytes(), 0
+            for word, cut in zip(some, (4 * cuts).tolist(), strict=True):
+                self.words[word] = data[at:cut]
+                at = cut + 4
 
     def _by_space(self, texts: list[str]) -> list[np.ndarray]:
         """White space separates and is dropped; the last id of every word is a word end."""
-        if len(self.pieces) > KNOWN:
-            self.pieces = {}
-        known = self.pieces
+        self._forget()
+        known, words, find = self.pieces, self.words, self.pattern.findall
         split = [t.split() for t in texts]
-        new = [p for p in {p for pieces in split for p in pieces} if p not in known]
-        # Words joined by a space; a piece may hold several words, so it is counted in words.
-        simple = [p for p in new if p.isalpha() and p.isascii()]
-        for start in range(0, len(simple), 5000):
-            some = simple[start : start + 5000]
+        # A batch's own table is small enough to stay close to the processor.
+        ids = dict.fromkeys(chain.from_iterable(split))
+        ids = {p: known.get(p) for p in ids}
+        new: dict[str, list[str]] = {}
+        odd = []
+        for piece in [p for p, found in ids.items() if found is None]:
+            low = piece.lower()
+            if max(low) < "\u0250":  # below, letters are composed and lower-case one by one
+                new[piece] = find(low)
+            else:
+                odd.append(piece)
+        self._learn_ends(chain.from_iterable(new.values()))
+        for piece, found in new.items():
+            ids[piece] = known[piece] = b"".join([words[w] for w in found])
+        if odd:
+            found = self.library.encode_batch_fast(odd, add_special_tokens=False)
+            for piece, encoding in zip(odd, found, strict=True):
+                ids[piece] = known[piece] = np.array(encoding.ids, np.uint32).tobytes()
+        get = ids.__getitem__
+        return [np.frombuffer(b"".join(map(get, pieces)), np.uint32) for pieces in split]
+
+    def _learn_ends(self, found: Iterable[str]) -> None:
+        """Unknown words, between spaces: each ends with the one id that is a word's end."""
+        new = [w for w in dict.fromkeys(found) if w not in self.words]
+        for start in range(0, len(new), 5000):
+            some = new[start : start + 5000]
             ids = self._whole(" ".join(some))
             cuts = np.flatnonzero(self.word_ends[ids]) + 1
-            if len(cuts) == len(some):
-                at = 0
-                for piece, cut in zip(some, cuts, strict=True):
-                    known[piece] = ids[at:cut].astype(np.uint32).tobytes()
-                    at = cut
-        rest = [p for p in new if p not in known]
-        for start in range(0, len(rest), 5000):
-            some = rest[start : start + 5000]
-            found = self.library.encode_batch_fast(some, add_special_tokens=False)
-            for piece, encoding in zip(some, found, strict=True):
-                known[piece] = np.array(encoding.ids, np.uint32).tobytes()
-        return [
-            np.frombuffer(b"".join([known[p] for p in pieces]), np.uint32) for pieces in split
-        ]
+            if len(cuts) != len(some):  # not separable after all
+                found = self.library.encode_batch_fast(some, add_special_tokens=False)
+                self.words |= {w: np.array(e.ids, np.uint32).tobytes()
+                               for w, e in zip(some, found, strict=True)}
+                continue
+            data, at = ids.astype(np.uint32).tobytes(), 0
+            for word, cut in zip(some, (4 * cuts).tolist(), strict=True):
+                self.words[word] = data[at:cut]
+                at = cut
 
 
 _ENCODERS: dict[str, Encoder] = {}
