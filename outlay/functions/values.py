@@ -24,7 +24,8 @@ def na_to_null(df: DataFrame) -> DataFrame:
 
 
 def typed(df: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Bind ``schema`` by name; a value that does not fit its type becomes NULL.
+    """Bind ``schema`` by name; a value that does not fit its type becomes NULL, and so does a
+    floating-point number that is not finite.
 
     ``keep`` names further columns to carry along unchanged.
     """
@@ -32,24 +33,59 @@ def typed(df: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()) -> Da
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
     return df.select(
-        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema],
+        *[_fitting(f).alias(f.name) for f in schema],
         *[F.col(name) for name in keep],
     )
 
 
+def _fitting(field: T.StructField) -> Column:
+    value = F.col(field.name).try_cast(field.dataType)
+    return F.when(is_finite(value), value) if isinstance(field.dataType, T.DoubleType) else value
+
+
+def is_finite(number: Column) -> Column:
+    """False for NaN and the infinities, NULL for NULL."""
+    return F.when(number.isNotNull(), ~F.isnan(number) & (F.abs(number) < float("inf")))
+
+
 def unparsed(column: str, data_type: str) -> Column:
     """True where the value is missing or cannot be read as ``data_type``."""
     return F.col(column).try_cast(data_type).isNull()
 
 
 def is_close(actual: Column, expected: Column, rtol: float = 1e-5, atol: float = 1e-8) -> Column:
-    """True where the two differ by at most ``atol + rtol * |expected|``; NULL where one is NULL."""
-    return F.abs(actual - expected) <= F.lit(atol) + F.lit(rtol) * F.abs(expected)
+    """True where the two differ by at most ``atol + rtol * |expected|``; NULL where one is NULL.
+
+    Numbers that are not finite are close to nothing.
+    """
+    near = F.abs(actual - expected) <= F.lit(atol) + F.lit(rtol) * F.abs(expected)
+    known = actual.isNotNull() & expected.isNotNull()
+    return F.when(known, near & is_finite(actual) & is_finite(expected))
 
 
 def fixed2(amount: Column) -> Column:
-    """Two decimals as text, NULL kept."""
-    return F.when(amount.isNotNull(), F.format_string("%.2f", F.round(amount, 2)))
+    """Two decimals as text, NULL kept: the double's exact value rounded, ties to even.
+
+    Formatting by the JVM would round the shortest decimal form half up instead. The fraction,
+    times 2^60, is an exact whole number from 2^-8 up (below, it rounds to nothing), and its
+    hundredfold is formed from two halves of 30 bits.
+    """
+    size = F.abs(amount)
+    whole = F.floor(size)
+    scaled = ((size - whole) * F.lit(float(1 << 60))).cast("bigint")
+    half = F.lit(1 << 30)
+    low = F.pmod(scaled, half) * 100
+    high = F.shiftright(scaled, 30) * 100 + F.shiftright(low, 30)
+    cents = F.shiftright(high, 30)
+    rest = F.pmod(high, half) * half + F.pmod(low, half)
+    tie = F.lit(1 << 59)
+    up = (rest > tie) | ((rest == tie) & (cents % 2 == 1))
+    cents = cents + up.cast("bigint")
+    text = F.format_string(
+        "%s%d.%02d", F.when(amount < 0, "-").otherwise(""), whole + F.floor(cents / 100), cents % 100
+    )
+    small = is_finite(amount) & (size < float(1 << 52))
+    return F.when(small, text).when(amount.isNotNull(), F.format_string("%.2f", amount))
 
 
 def half_even(amount: Column) -> Column:

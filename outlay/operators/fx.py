@@ -5,27 +5,28 @@ interval are included, at day grain.
 
 Spark evaluates a range condition once per candidate pair, and hashing by currency alone leaves a
 handful of groups. Intervals are therefore unrolled to days, which turns the range join into an
-equi-join on (currency, day). Open-ended intervals would unroll for millennia, so they are first
-clipped to the span of days that occur in the costs.
+equi-join on (currency, day). Only days that occur in the costs are unrolled: a quote open until
+9999 gives one row for each of them, also where a wrong date lies millennia off.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from outlay.operators.joins import BROADCAST_BYTES, fits_broadcast, left_join, left_lookup
+from outlay.operators.joins import BROADCAST_BYTES, left_lookup
 from outlay.sources.schemas import BASE_CURRENCY
 
-Span = tuple[Column, Column]
 
-# Largest list of quotes, in measured bytes, that each cost may be compared with.
-COMPARE_BYTES = 1024 * 1024
+def _day() -> Column:
+    return F.col("segments_date").cast("date")
 
 
-def day_span(costs: DataFrame) -> Span:
-    """First and last day of the costs, as scalar subqueries over that single column."""
-    first = costs.agg(F.min("segments_date")).scalar()
-    last = costs.agg(F.max("segments_date")).scalar()
-    return first, last
+def cost_days(costs: DataFrame) -> Column:
+    """The distinct days of the costs, as a scalar subquery over that single column.
+
+    Their number is bounded by the calendar, whatever the number of costs.
+    """
+    days = costs.select(_day().alias("day")).distinct()
+    return days.agg(F.array_sort(F.collect_set("day"))).scalar()
 
 
 def usable_quotes(rates: DataFrame, base: str = BASE_CURRENCY) -> DataFrame:
@@ -33,29 +34,27 @@ def usable_quotes(rates: DataFrame, base: str = BASE_CURRENCY) -> DataFrame:
     return rates.filter((F.col("base") == base) & (F.col("currency") != base))
 
 
-def quotes_by_day(rates: DataFrame, span: Span, base: str = BASE_CURRENCY) -> DataFrame:
-    """One row per quote and day of validity within ``span``."""
-    first, last = span
-    # The lower bound is checked again after clipping: sequence() runs backwards otherwise.
-    clipped = (
+def quotes_by_day(rates: DataFrame, days: Column, base: str = BASE_CURRENCY) -> DataFrame:
+    """One row per quote and day of ``days`` it is valid on."""
+    return (
         usable_quotes(rates, base)
         .filter(F.col("valid_from") <= F.col("valid_to"))
-        .withColumn("_from", F.greatest("valid_from", first))
-        .withColumn("_to", F.least("valid_to", last))
-        .filter(F.col("_from") <= F.col("_to"))
-    )
-    return clipped.withColumn("quote_day", F.explode(F.sequence("_from", "_to"))).drop(
-        "_from", "_to"
+        .withColumn("_days", days)
+        .withColumn(
+            "quote_day",
+            F.explode(F.filter("_days", lambda d: d.between(F.col("valid_from"), F.col("valid_to")))),
+        )
+        .drop("_days")
     )
 
 
-def first_rate_by_day(rates: DataFrame, span: Span, base: str = BASE_CURRENCY) -> DataFrame:
+def first_rate_by_day(rates: DataFrame, days: Column, base: str = BASE_CURRENCY) -> DataFrame:
     """One rate per currency and day: that of the earliest quote (``src_ord``) covering the day.
 
-    At most one row for every currency and day of the span, whatever the number of quotes.
+    At most one row for every currency and day, whatever the number of quotes.
     """
     return (
-        quotes_by_day(rates, span, base)
+        quotes_by_day(rates, days, base)
         .groupBy("currency", "quote_day")
         .agg(F.min_by("rate", "src_ord").alias("rate"))
     )
@@ -70,50 +69,32 @@ def _lookup_by_day(facts: DataFrame, by_day: DataFrame, limit: int) -> DataFrame
         *[c for c in by_day.columns if c not in ("currency", "quote_day")],
     )
     same = (F.col("currency") == F.col("_currency")) & (
-        F.unix_date("segments_date") == F.col("_day")
+        F.unix_date(_day()) == F.col("_day")
     )
     return left_lookup(facts, lookup, same, limit).drop("_currency", "_day")
 
 
 def with_first_rate(
-    costs: DataFrame, rates: DataFrame, span: Span | None = None, limit: int = BROADCAST_BYTES
+    costs: DataFrame, rates: DataFrame, days: Column | None = None, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Add the looked-up ``rate``: the first matching quote, else NULL. Row count is unchanged."""
-    span = span or day_span(costs)
-    return _lookup_by_day(costs, first_rate_by_day(rates, span), limit)
+    days = cost_days(costs) if days is None else days
+    return _lookup_by_day(costs, first_rate_by_day(rates, days), limit)
 
 
 def with_every_rate(
-    costs: DataFrame, rates: DataFrame, span: Span | None = None, limit: int = BROADCAST_BYTES
+    costs: DataFrame, rates: DataFrame, days: Column | None = None, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Add the looked-up ``rate`` and ``valid_from``, ``valid_to`` of every matching quote.
 
-    A cost covered by two quotes comes out twice; one covered by none stays, with NULLs.
+    A cost covered by two quotes comes out twice; one covered by none stays, with NULLs. Quotes by
+    day of at most ``limit`` measured bytes are sent to every executor.
     """
-    span = span or day_span(costs)
-    by_day = quotes_by_day(rates, span).drop("base", "src_ord")
+    days = cost_days(costs) if days is None else days
+    by_day = quotes_by_day(rates, days).drop("base", "src_ord")
     return _lookup_by_day(costs, by_day, limit)
 
 
-def with_every_rate_broadcast(
-    costs: DataFrame, rates: DataFrame, span: Span | None = None, limit: int = BROADCAST_BYTES
-) -> DataFrame:
-    """:func:`with_every_rate` on the unrolled intervals themselves, for a small list of quotes.
-
-    Each cost is compared with all quotes of its currency, so this holds for lists of at most
-    ``COMPARE_BYTES`` (and ``limit``) only; beyond that the day-grain join takes over.
-    """
-    quotes = usable_quotes(rates).select(
-        F.col("currency").alias("_currency"), "rate", "valid_from", "valid_to"
-    )
-    if not fits_broadcast(quotes, min(limit, COMPARE_BYTES)):
-        return with_every_rate(costs, rates, span, limit)
-    covered = (F.col("currency") == F.col("_currency")) & F.col("segments_date").between(
-        F.col("valid_from"), F.col("valid_to")
-    )
-    return left_join(costs, quotes, covered, small=True).drop("_currency")
-
-
 def base_rate(currency: Column, looked_up: Column, base: str = BASE_CURRENCY) -> Column:
     """1 for the base currency, else the looked-up rate."""
     return F.when(currency == base, F.lit(1.0)).otherwise(looked_up)

@@ -6,7 +6,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from outlay.functions.values import is_close, unparsed
+from outlay.functions.values import is_close, is_finite, unparsed
+from outlay.sources.files import MALFORMED
 from outlay.sources.schemas import BASE_CURRENCY, EXTRACTION_KEY, REQUIRED
 
 
@@ -19,18 +20,21 @@ def costs_summary(costs: DataFrame) -> DataFrame:
     return costs.agg(
         F.count(F.lit(1)).alias("n_rows"),
         _count_if(F.col("customer_id").isNull(), "n_null_customer_id"),
-        _count_if(unparsed("segments_date", "date"), "n_bad_segments_date"),
-        _count_if(unparsed("metrics_cost_micros", "bigint"), "n_bad_cost"),
+        _count_if(unparsed("segments_date", "timestamp"), "n_bad_segments_date"),
+        _count_if(unparsed("metrics_cost_micros", "decimal(28,6)"), "n_bad_cost"),
         _count_if(unparsed("last_extracted_at", "timestamp"), "n_bad_last_extracted_at"),
     )
 
 
 def rates_summary(rates: DataFrame) -> DataFrame:
     """One row of counts over rates, typed or still text."""
+    rate = F.col("rate").try_cast("double")
     return rates.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        _count_if(unparsed("rate", "double"), "n_bad_rate"),
-        _count_if(F.col("rate").try_cast("double") == 0.0, "n_zero_rate"),
+        _count_if(rate.isNull(), "n_bad_rate"),
+        _count_if(rate == 0.0, "n_zero_rate"),
+        _count_if(~is_finite(rate), "n_not_finite_rate"),
+        _count_if(is_finite(rate) & (rate < 0), "n_negative_rate"),
     )
 
 
@@ -85,24 +89,51 @@ def flag_duplicates(costs: DataFrame, keys: list[str] = EXTRACTION_KEY) -> DataF
     )
 
 
+def comparable() -> Column:
+    """Where cost over mean rate must equal the spend: one currency, one rate, none missing."""
+    one_rate = F.col("least_rate") == F.col("greatest_rate")
+    return (F.col("n_currencies") == 1) & (F.col("n_missing_rate") == 0) & one_rate
+
+
+def _expected_spend() -> Column:
+    return F.try_divide(F.col("total_metrics_cost").cast("double"), F.col("rate"))
+
+
+def _eur_not_one() -> Column:
+    all_eur = (F.col("currency") == BASE_CURRENCY) & (F.col("n_currencies") == 1)
+    return all_eur & (F.col("rate") != 1.0)
+
+
 def single_currency(audit: DataFrame) -> DataFrame:
-    """Groups for which cost over mean rate must equal the spend: one currency, no rate missing."""
-    return audit.filter((F.col("n_currencies") == 1) & (F.col("n_missing_rate") == 0))
+    """Groups for which cost over mean rate must equal the spend (:func:`comparable`)."""
+    return audit.filter(comparable())
 
 
 def cost_mismatches(audit: DataFrame, rtol: float = 1e-5, atol: float = 1e-8) -> DataFrame:
     """Groups whose spend differs from total cost over mean rate. NULLs are not compared."""
-    expected = F.try_divide(F.col("total_metrics_cost").cast("double"), F.col("rate"))
-    return audit.withColumn("expected_spend_eur", expected).filter(
+    return audit.withColumn("expected_spend_eur", _expected_spend()).filter(
         ~is_close(F.col("total_spend_eur"), F.col("expected_spend_eur"), rtol, atol)
     )
 
 
 def eur_rate_not_one(audit: DataFrame) -> DataFrame:
     """Single-currency groups in the base currency whose rate is not 1."""
-    return audit.filter(
-        (F.col("currency") == BASE_CURRENCY) & (F.col("n_currencies") == 1) & (F.col("rate") != 1.0)
+    return audit.filter(_eur_not_one())
+
+
+def total_report(priced_rows: DataFrame, audit: DataFrame) -> DataFrame:
+    """One check (check, passed, n_bad): the report's total against that of the cost rows.
+
+    ``priced_rows`` are converted row by row (``cost_eur``), without the sums, cells and grouped
+    lookups that the report goes through, so a fault in one of them shows as a difference.
+    """
+    by_rows = priced_rows.agg(F.coalesce(F.sum("cost_eur"), F.lit(0.0))).scalar()
+    total = F.coalesce(F.sum("total_spend_eur"), F.lit(0.0)).alias("total")
+    differs = ~F.coalesce(is_close(F.col("total"), F.col("by_rows")), F.lit(False))
+    counted = audit.agg(total).select("total", by_rows.alias("by_rows")).select(
+        differs.cast("bigint").alias("n")
     )
+    return _unpivot(counted, {"spend_total_matches_rows": "n"})
 
 
 def missing_columns(df: DataFrame, table: str) -> list[str]:
@@ -144,27 +175,36 @@ def _union(parts: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _has(df: DataFrame, *columns: str) -> bool:
+    return all(c in df.columns for c in columns)
+
+
+def _cost_checks(costs: DataFrame) -> dict[str, Column]:
+    checks = {
+        "costs_customer_id_not_null": ("customer_id", F.isnull),
+        "costs_segments_date_parses": ("segments_date", lambda c: unparsed(c, "timestamp")),
+        "costs_cost_is_numeric": ("metrics_cost_micros", lambda c: unparsed(c, "decimal(28,6)")),
+        "costs_last_extracted_at_parses": (
+            "last_extracted_at",
+            lambda c: unparsed(c, "timestamp"),
+        ),
+        "costs_rows_well_formed": (MALFORMED, F.col),
+    }
+    return {name: bad(c) for name, (c, bad) in checks.items() if _has(costs, c)}
+
+
 def input_report(costs: DataFrame, accounts: DataFrame, rates: DataFrame) -> DataFrame:
     """All input checks as rows (check, passed, n_bad).
 
     Checks that need an absent column are left out; the column check itself has failed then.
     Repeated extractions are counted for information and always pass.
     """
-    tables = {"costs": costs, "accounts": accounts, "rates": rates}
-    parts = [_columns_check(tables)]
-    has = {table: not missing_columns(df, table) for table, df in tables.items()}
-    if has["costs"]:
-        parts.append(
-            _unpivot(
-                costs_summary(costs),
-                {
-                    "costs_customer_id_not_null": "n_null_customer_id",
-                    "costs_segments_date_parses": "n_bad_segments_date",
-                    "costs_cost_is_numeric": "n_bad_cost",
-                    "costs_last_extracted_at_parses": "n_bad_last_extracted_at",
-                },
-            )
-        )
+    parts = [_columns_check({"costs": costs, "accounts": accounts, "rates": rates})]
+    of_costs = _cost_checks(costs)
+    if of_costs:  # all in one pass
+        counted = costs.agg(*[_count_if(bad, name) for name, bad in of_costs.items()])
+        parts.append(_unpivot(counted, {name: name for name in of_costs}))
+    if _has(costs, *EXTRACTION_KEY):
         copies = duplicate_groups(costs).agg(
             F.count(F.lit(1)).alias("groups"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")
         )
@@ -173,20 +213,25 @@ def input_report(costs: DataFrame, accounts: DataFrame, rates: DataFrame) -> Dat
                 copies, {"costs_duplicate_groups": "groups", "costs_duplicate_rows": "rows"}
             ).withColumn("passed", F.lit(True))
         )
-    if has["rates"]:
+    if _has(rates, "rate"):
         parts.append(
             _unpivot(
                 rates_summary(rates),
-                {"rates_rate_is_numeric": "n_bad_rate", "rates_rate_not_zero": "n_zero_rate"},
+                {
+                    "rates_rate_is_numeric": "n_bad_rate",
+                    "rates_rate_not_zero": "n_zero_rate",
+                    "rates_rate_is_finite": "n_not_finite_rate",
+                    "rates_rate_not_negative": "n_negative_rate",
+                },
             )
         )
-    if has["accounts"]:
+    if _has(accounts, "account_id"):
         parts.append(
             _unpivot(
                 accounts_summary(accounts), {"accounts_account_id_not_null": "n_null_account_id"}
             )
         )
-    if has["costs"] and has["accounts"]:
+    if _has(costs, "customer_id") and _has(accounts, "account_id"):
         parts.append(_none_of(orphan_customers(costs, accounts), "costs_customers_have_accounts"))
     return _union(parts)
 
@@ -197,14 +242,11 @@ def output_report(audit: DataFrame) -> DataFrame:
     Cost over mean rate is compared only where it has to hold (:func:`single_currency`); groups
     with a missing rate have a check of their own.
     """
-    expected = F.try_divide(F.col("total_metrics_cost").cast("double"), F.col("rate"))
-    comparable = (F.col("n_currencies") == 1) & (F.col("n_missing_rate") == 0)
-    mismatch = comparable & ~is_close(F.col("total_spend_eur"), expected)
-    all_eur = (F.col("currency") == BASE_CURRENCY) & (F.col("n_currencies") == 1)
+    mismatch = comparable() & ~is_close(F.col("total_spend_eur"), _expected_spend())
     bad = {
         "spend_matches_cost_over_rate": mismatch,
         "spend_has_no_missing_rate": F.col("n_missing_rate") > 0,
-        "spend_eur_rate_is_one": all_eur & (F.col("rate") != 1.0),
+        "spend_eur_rate_is_one": _eur_not_one(),
     }
     counted = audit.agg(
         *[_count_if(condition, name) for name, condition in bad.items()],

@@ -19,7 +19,7 @@ def spend_report(
 ) -> DataFrame:
     """Ranked report rows, all values as text, ``domain`` renamed to ``country``.
 
-    Ordered by day and amount, NULLs first, then by the remaining columns so that ranks are
+    Ordered by day and unrounded amount, NULLs first, then by the remaining columns so that ranks are
     unique. ``text_order`` compares amounts as text, as a report that formats before sorting does.
     """
     amount = number(F.col("total_spend_eur"))
@@ -28,7 +28,7 @@ def spend_report(
         F.col("domain").alias("country"),
         "brand",
         "channel_type",
-        F.round("total_spend_eur", 2).alias("_amount"),
+        F.col("total_spend_eur").alias("_amount"),
         amount.alias("total_spend_eur"),
     )
     by = ["segments_date", "total_spend_eur" if text_order else "_amount"]

@@ -6,7 +6,7 @@ map-side combine absorbs hot customers and currencies, and the rate join then se
 cells instead of cost rows.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outlay.operators import fx
@@ -16,6 +16,7 @@ from outlay.sources.schemas import SPEND_KEY
 
 _MICROS, _ROWS, _FIRST = "_micros", "_rows", "_first"
 _SPEND, _RATED, _UNRATED, _RATE_SUM = "_spend", "_rated", "_unrated", "_rate_sum"
+_LEAST, _MOST = "_least_rate", "_most_rate"
 
 
 def spend_cells(
@@ -54,7 +55,7 @@ def spend_cells(
 
 
 def price_cells(
-    cells: DataFrame, rates: DataFrame, span: fx.Span, every_match: bool = False
+    cells: DataFrame, rates: DataFrame, days: Column, every_match: bool = False
 ) -> DataFrame:
     """Convert each cell with its first matching quote, or once with every matching quote.
 
@@ -63,9 +64,9 @@ def price_cells(
     """
     priced = (
         # Shuffled without a look at the size (limit 0): both sides are summed up already.
-        fx.with_every_rate(cells, rates, span, limit=0)
+        fx.with_every_rate(cells, rates, days, limit=0)
         if every_match
-        else fx.with_first_rate(cells, rates, span, limit=0)
+        else fx.with_first_rate(cells, rates, days, limit=0)
     )
     rate = fx.base_rate(F.col("currency"), F.col("rate"))
     rated_rows = F.when(rate.isNotNull(), F.col(_ROWS)).otherwise(F.lit(0))
@@ -77,12 +78,20 @@ def price_cells(
         _UNRATED: F.col(_ROWS) - rated_rows,
     }
     priced = priced.select(
-        *SPEND_KEY, "currency", _FIRST, *[value.alias(name) for name, value in amounts.items()]
+        *SPEND_KEY,
+        "currency",
+        _FIRST,
+        *[value.alias(name) for name, value in amounts.items()],
+        rate.alias(_LEAST),
+        rate.alias(_MOST),
     )
     if not every_match:
         return priced
     return priced.groupBy(*SPEND_KEY, "currency").agg(
-        F.min(_FIRST).alias(_FIRST), *[F.sum(name).alias(name) for name in amounts]
+        F.min(_FIRST).alias(_FIRST),
+        *[F.sum(name).alias(name) for name in amounts],
+        F.min(_LEAST).alias(_LEAST),
+        F.max(_MOST).alias(_MOST),
     )
 
 
@@ -90,7 +99,7 @@ def audit_spend(priced: DataFrame, zero_fill: bool = False) -> DataFrame:
     """Spend per report group with the columns the output checks need.
 
     ``rate`` is the mean over cost rows that have one, ``currency`` that of the first row with
-    one. A group without any rate has a NULL total, or 0 with ``zero_fill``.
+    one, ``least_rate`` and ``greatest_rate`` bound the rates. A group without any rate has a NULL total, or 0 with ``zero_fill``.
     """
     total = F.sum(_SPEND)
     first_seen = F.when(F.col("currency").isNotNull(), F.col(_FIRST))
@@ -101,6 +110,8 @@ def audit_spend(priced: DataFrame, zero_fill: bool = False) -> DataFrame:
         F.min_by("currency", first_seen).alias("currency"),
         F.count("currency").alias("n_currencies"),
         F.sum(_UNRATED).alias("n_missing_rate"),
+        F.min(_LEAST).alias("least_rate"),
+        F.max(_MOST).alias("greatest_rate"),
     )
 
 

@@ -2,11 +2,11 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outlay.functions.names import normalize_columns
-from outlay.functions.values import half_even, typed
+from outlay.functions.values import fixed2, half_even, typed
 from outlay.operators import fx, quality
 from outlay.operators.accounts import with_accounts
 from outlay.operators.latest import keep_latest_max_by
@@ -15,7 +15,7 @@ from outlay.operators.report import report_lines, spend_report
 from outlay.plans.daily_spend import NEWEST, SpendOptions, daily_spend, latest_costs, spend_audit
 from outlay.sources import tables
 from outlay.sources.files import read_csv
-from outlay.sources.schemas import COST_KEY, COSTS, RATES
+from outlay.sources.schemas import COST_KEY, COSTS, RATES, SPEND_KEY
 from outlay.sources.scratch import new_table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,7 @@ def _typed_costs(text: DataFrame) -> DataFrame:
         {
             "metrics_cost_micros": F.col("metrics_cost_micros").cast("double"),
             "last_extracted_at": F.unix_seconds("last_extracted_at").cast("double"),
+            "segments_date": F.col("segments_date").cast("date"),
         }
     )
 
@@ -142,8 +143,8 @@ def costs_with_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_accounts(costs, tables.accounts(spark, sf_dir))
 
 
-def _in_currency(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, fx.Span]:
-    """Latest costs with their currency, the quotes, and the span of days."""
+def _in_currency(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Column]:
+    """Latest costs with their currency, the quotes, and the days."""
     costs, accounts, rates = _inputs(spark, sf_dir)
     priced = with_accounts(
         latest_costs(costs).select(
@@ -151,7 +152,7 @@ def _in_currency(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
         ),
         accounts.select("account_id", "currency"),
     ).drop("account_id")
-    return priced, rates, fx.day_span(costs)
+    return priced, rates, fx.cost_days(costs)
 
 
 def fx_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,7 +160,8 @@ def fx_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_interval_join_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.with_every_rate_broadcast(*_in_currency(spark, sf_dir))
+    """The same result with the other join: quotes by day are shuffled, never sent to all."""
+    return fx.with_every_rate(*_in_currency(spark, sf_dir), limit=0)
 
 
 def fx_first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,6 +182,69 @@ def cost_eur(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.with_cost_eur(fx_first_match(spark, sf_dir))
 
 
+# --- times of day, decimals, many quotes ------------------------------------------------------
+
+
+def keep_latest_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Costs by hour: the hour is part of the key."""
+    costs = _hourly(spark, sf_dir)
+    kept = latest_costs(costs).drop("last_extracted_at")
+    return kept.withColumn("segments_date", F.col("segments_date").cast("string"))
+
+
+def _hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    events = tables.load(spark, sf_dir, "events").select(
+        "event_id", F.date_trunc("hour", "ts").cast("timestamp").alias("segments_date"),
+        hour.alias("last_extracted_at"),
+    )
+    costs = tables.costs(spark, sf_dir).drop("segments_date", "last_extracted_at")
+    return costs.join(events, costs["src_ord"] == events["event_id"]).drop("event_id")
+
+
+def spend_decimal_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spend of costs that come as text with two decimals, by hour; rates go by day."""
+    text = tables.load(spark, sf_dir, "events").select(
+        F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias(
+            "segments_date"
+        ),
+        F.col("user_id").cast("string").alias("customer_id"),
+        F.col("event_type").alias("campaign_id"),
+        F.concat(tables.micros().cast("string"), F.lit("."),
+                 F.lpad((F.col("event_id") % 100).cast("string"), 2, "0"))
+        .alias("metrics_cost_micros"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("last_extracted_at"),
+        F.col("event_id").alias("src_ord"),
+    )
+    costs = typed(text, COSTS, keep=("src_ord",))
+    _, accounts, rates = _inputs(spark, sf_dir)
+    spend = daily_spend(costs, accounts, rates)
+    return _cents(spend, "total_spend_eur").withColumn(
+        "segments_date", F.col("segments_date").cast("string")
+    )
+
+
+def _many_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return typed(tables.rates_text(spark, sf_dir), RATES, keep=("src_ord",))
+
+
+def fx_first_match_many_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One quote per order; the lookup by day is small."""
+    priced, _, days = _in_currency(spark, sf_dir)
+    return fx.with_first_rate(priced, _many_quotes(spark, sf_dir), days)
+
+
+def fx_first_match_many_quotes_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the lookup treated as too large to send to all."""
+    priced, _, days = _in_currency(spark, sf_dir)
+    return fx.with_first_rate(priced, _many_quotes(spark, sf_dir), days, limit=0)
+
+
+def daily_spend_many_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    costs, accounts, _ = _inputs(spark, sf_dir)
+    return _cents(daily_spend(costs, accounts, _many_quotes(spark, sf_dir)), "total_spend_eur")
+
+
 # --- quality --------------------------------------------------------------------------------
 
 
@@ -225,22 +290,29 @@ def dq_cost_eur_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
         "channel_type",
         "total_spend_eur",
         "expected_spend_eur",
-        ((F.col("n_currencies") == 1) & (F.col("n_missing_rate") == 0)).alias("comparable"),
+        quality.comparable().alias("comparable"),
     )
 
 
+def dq_single_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups in which cost over rate has to give the spend, with both."""
+    audit = quality.single_currency(_audit(spark, sf_dir))
+    return _cents(audit, "total_spend_eur").select(*SPEND_KEY, "total_spend_eur", "currency")
+
+
+def dq_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's total against that of the rows."""
+    return quality.total_report(cost_eur(spark, sf_dir), _audit(spark, sf_dir))
+
+
 def dq_eur_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Groups whose first currency is EUR, with their mean rate and whether that is 1."""
-    audit = _audit(spark, sf_dir).filter(F.col("currency") == "EUR")
-    return audit.select(
-        "segments_date",
-        "domain",
-        "brand",
-        "channel_type",
-        "n_currencies",
-        F.round("rate", 9).alias("rate"),
-        (F.col("rate") == 1.0).alias("is_one"),
+    """Groups in EUR whose rate is not 1, in an audit whose EUR rates are spoilt in some places."""
+    audit = _audit(spark, sf_dir)
+    spoilt = F.when(F.col("total_metrics_cost") % 3 == 0, F.col("rate") + 1.0)
+    found = quality.eur_rate_not_one(
+        audit.withColumn("rate", F.coalesce(spoilt, F.col("rate")))
     )
+    return found.select(*SPEND_KEY, F.round("rate", 9).alias("rate"))
 
 
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,6 +344,13 @@ def spend_text_half_even(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spend_text_cents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts in eighths, so that every other one is a tie between two cents."""
+    eighths = (F.col("metrics_cost_micros") % 1000003).cast("double") / F.lit(8.0)
+    costs = tables.costs(spark, sf_dir).select("src_ord", eighths.alias("amount"))
+    return costs.withColumn("amount_text", fixed2(F.col("amount")))
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_lines(daily_spend_report(spark, sf_dir))
 
@@ -308,6 +387,14 @@ def queries() -> dict[str, Query]:
         "dq_cost_eur_mismatch": dq_cost_eur_mismatch,
         "dq_eur_rate": dq_eur_rate,
         "dq_report": dq_report,
+        "dq_single_currency": dq_single_currency,
+        "dq_total": dq_total,
+        "spend_text_cents": spend_text_cents,
+        "keep_latest_hourly": keep_latest_hourly,
+        "spend_decimal_costs": spend_decimal_costs,
+        "fx_first_match_many_quotes": fx_first_match_many_quotes,
+        "fx_first_match_many_quotes_shuffled": fx_first_match_many_quotes_shuffled,
+        "daily_spend_many_quotes": daily_spend_many_quotes,
         "daily_spend_report": daily_spend_report,
         "report_rank_text_order": report_rank_text_order,
         "spend_text_half_even": spend_text_half_even,

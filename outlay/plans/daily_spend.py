@@ -2,7 +2,7 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from outlay.operators import fx, spend
 from outlay.operators.joins import BROADCAST_BYTES
@@ -36,12 +36,13 @@ def spend_audit(
     accounts: DataFrame,
     rates: DataFrame,
     options: SpendOptions = SpendOptions(),
-    span: fx.Span | None = None,
+    days: Column | None = None,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Spend per group with its audit columns. ``span`` saves a pass over the days if known."""
+    """Spend per group with its audit columns. ``days`` saves a pass over them if known."""
     cells = spend.spend_cells(latest_costs(costs), accounts, options.drop_null_keys, limit)
-    priced = spend.price_cells(cells, rates, span or fx.day_span(costs), options.every_match)
+    days = fx.cost_days(costs) if days is None else days
+    priced = spend.price_cells(cells, rates, days, options.every_match)
     return spend.audit_spend(priced, options.zero_fill)
 
 
@@ -50,8 +51,8 @@ def daily_spend(
     accounts: DataFrame,
     rates: DataFrame,
     options: SpendOptions = SpendOptions(),
-    span: fx.Span | None = None,
+    days: Column | None = None,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Spend in EUR micros per day, domain, brand and channel."""
-    return spend.public_spend(spend_audit(costs, accounts, rates, options, span, limit))
+    return spend.public_spend(spend_audit(costs, accounts, rates, options, days, limit))

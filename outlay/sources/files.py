@@ -1,30 +1,67 @@
 """CSV inputs."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from outlay.functions.names import normalize_columns
 from outlay.functions.values import na_to_null
 
 ORDINAL = "src_ord"
+MALFORMED = "src_malformed"
+_CORRUPT = "_corrupt_record"
 
 
-def read_csv(spark: SparkSession, path: str | list[str], na_tokens: bool = False) -> DataFrame:
-    """CSV with a header, every column as text under its cleaned name, plus the row ordinal.
+def read_csv(
+    spark: SparkSession,
+    path: str | list[str],
+    na_tokens: bool = False,
+    line_breaks: bool = False,
+) -> DataFrame:
+    """CSV with a header, every column as text under its cleaned name, plus two columns of ours.
 
     Columns are bound by name, not by a schema's positions, and a file whose header differs from
-    the first one's is an error instead of swapped columns.
+    the first one's is an error instead of swapped columns. Quotes inside quoted values are
+    doubled. ``line_breaks`` allows breaks inside quoted values; such files are not split among
+    tasks.
 
-    ``src_ord`` is the place of the row: file, start of the file's split, row within the split.
-    It grows down every file however Spark packs files and splits into tasks; between files the
-    order is fixed but arbitrary.
+    ``src_ord`` is the place of the row: position of its path in the list given, name of the file
+    (in text order), start of the file's split, row within the split. It grows down every file
+    however Spark packs files and splits into tasks, and does not depend on the folder's name.
+    ``src_malformed`` marks rows with more or fewer values than the header; missing ones are NULL.
     """
-    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    paths = [path] if isinstance(path, str) else path
+    parts = [_read_path(spark, p, i, line_breaks) for i, p in enumerate(paths)]
+    if len({tuple(sorted(p.columns)) for p in parts}) > 1:
+        raise ValueError("the header columns of the inputs differ")
+    # The hidden column goes away with toDF, so the ordinal is taken before the names are cleaned.
+    table = normalize_columns(reduce(DataFrame.unionByName, parts))
+    return na_to_null(table) if na_tokens else table
+
+
+def _read_path(spark: SparkSession, path: str, position: int, line_breaks: bool) -> DataFrame:
+    def reader():
+        return (
+            spark.read.option("header", True)
+            .option("enforceSchema", False)
+            .option("escape", '"')
+            .option("multiLine", line_breaks)
+            .option("columnPruning", False)  # else a row's width goes unseen
+        )
+
+    header = reader().csv(path).schema
+    schema = T.StructType([*header.fields, T.StructField(_CORRUPT, T.StringType())])
+    raw = reader().schema(schema).option("columnNameOfCorruptRecord", _CORRUPT).csv(path)
     place = F.struct(
-        F.xxhash64("_metadata.file_path").alias("file"),
+        F.lit(position).alias("path"),
+        F.col("_metadata.file_name").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("row"),
     )
-    # The hidden column goes away with toDF, so the ordinal is taken before the names are cleaned.
-    table = normalize_columns(raw.withColumn(ORDINAL, place))
-    return na_to_null(table) if na_tokens else table
+    return raw.select(
+        *[F.col(f"`{c}`") for c in header.names],
+        place.alias(ORDINAL),
+        F.col(_CORRUPT).isNotNull().alias(MALFORMED),
+    )

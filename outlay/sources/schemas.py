@@ -4,10 +4,12 @@ from pyspark.sql import types as T
 
 COSTS = T.StructType(
     [
-        T.StructField("segments_date", T.DateType()),
+        # A time of day, where there is one, is part of the key; the day alone decides the rate.
+        T.StructField("segments_date", T.TimestampType()),
         T.StructField("customer_id", T.StringType()),
         T.StructField("campaign_id", T.StringType()),
-        T.StructField("metrics_cost_micros", T.LongType()),
+        # Sums have ten more digits, so they cannot overflow.
+        T.StructField("metrics_cost_micros", T.DecimalType(28, 6)),
         T.StructField("last_extracted_at", T.TimestampType()),
     ]
 )
@@ -17,11 +19,8 @@ ACCOUNTS = T.StructType(
         T.StructField("account_id", T.StringType()),
         T.StructField("currency", T.StringType()),
         T.StructField("channel_type", T.StringType()),
-        T.StructField("ad_platform", T.StringType()),
         T.StructField("brand", T.StringType()),
-        T.StructField("campaign_objective", T.StringType()),
         T.StructField("domain", T.StringType()),
-        T.StructField("language", T.StringType()),
     ]
 )
 
@@ -35,11 +34,11 @@ RATES = T.StructType(
     ]
 )
 
-# Columns an input must have before its other checks make sense.
+# Columns an input must have: all the plan uses.
 REQUIRED = {
-    "costs": ["customer_id", "segments_date"],
-    "rates": ["currency", "base", "rate"],
-    "accounts": ["account_id", "currency"],
+    "costs": COSTS.fieldNames(),
+    "rates": RATES.fieldNames(),
+    "accounts": ACCOUNTS.fieldNames(),
 }
 
 # Grain of a cost after de-duplication, and the grain at which a re-delivered row counts as a copy.

@@ -36,7 +36,8 @@ def _currency(key: str) -> Column:
     )
 
 
-def _micros() -> Column:
+def micros() -> Column:
+    """An event's value as a cost in micros."""
     return F.round(F.col("value") * 1000000).cast("bigint")
 
 
@@ -45,7 +46,7 @@ def costs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").cast("date").alias("segments_date"),
         F.col("user_id").cast("string").alias("customer_id"),
         F.col("event_type").alias("campaign_id"),
-        _micros().alias("metrics_cost_micros"),
+        micros().alias("metrics_cost_micros"),
         F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("last_extracted_at"),
         F.col("event_id").alias("src_ord"),
     )
@@ -62,7 +63,7 @@ def costs_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(~anonymous, F.col("user_id").cast("string")).alias("customer_id"),
         F.col("event_type").alias("campaign_id"),
         F.when(error & (F.col("value") < 1), "n/a")
-        .otherwise(_micros().cast("string"))
+        .otherwise(micros().cast("string"))
         .alias("metrics_cost_micros"),
         F.when(error & (F.col("value") < 2), "never")
         .otherwise(extracted)

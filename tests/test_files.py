@@ -11,7 +11,7 @@ from tests.frames import rows
 def test_header_is_cleaned_and_values_stay_text(spark, tmp_path):
     (tmp_path / "a.csv").write_text(" ACCOUNT_ID ,Channel Type\n007,\n8,NA\n")
     df = read_csv(spark, str(tmp_path / "a.csv"))
-    assert df.columns == ["account_id", "channel_type", "src_ord"]
+    assert df.columns == ["account_id", "channel_type", "src_ord", "src_malformed"]
     assert rows(df, "account_id", "channel_type") == [("007", None), ("8", "NA")]
     with_tokens = read_csv(spark, str(tmp_path / "a.csv"), na_tokens=True)
     assert rows(with_tokens, "channel_type") == [(None,), (None,)]
@@ -43,3 +43,30 @@ def test_ordinal_follows_each_file_across_splits(spark, tmp_path, conf):
     ordered = df.orderBy("src_ord").select("name", F.col("line").cast("int")).collect()
     for name, n in (("small", 50), ("large", 2000)):
         assert [r.line for r in ordered if r.name == name] == list(range(n))
+
+
+def test_order_is_that_of_the_list_then_of_file_names(spark, tmp_path):
+    orders = []
+    for folder in ("zeta", "alpha", "m"):
+        (tmp_path / folder).mkdir()
+        for name, value in (("a", 1), ("b", 2)):
+            (tmp_path / folder / f"{name}.csv").write_text(f"V\n{value}\n")
+        base = str(tmp_path / folder)
+        for paths in (base, [f"{base}/a.csv", f"{base}/b.csv"], [f"{base}/b.csv", f"{base}/a.csv"]):
+            orders.append([r.v for r in read_csv(spark, paths).orderBy("src_ord").collect()])
+    assert orders == [["1", "2"], ["1", "2"], ["2", "1"]] * 3
+
+
+def test_doubled_quotes_and_line_breaks(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('A,B\n"x ""y"" z",1\n"two\nlines",2\n')
+    df = read_csv(spark, str(tmp_path / "q.csv"), line_breaks=True)
+    assert rows(df, "a", "b", "src_malformed") == [
+        ("two\nlines", "2", False),
+        ('x "y" z', "1", False),
+    ]
+
+
+def test_rows_of_another_width_are_marked(spark, tmp_path):
+    (tmp_path / "w.csv").write_text("A,B\n1,2\n3\n4,5,6\n")
+    df = read_csv(spark, str(tmp_path / "w.csv"))
+    assert rows(df, "a", "src_malformed") == [("1", False), ("3", True), ("4", True)]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from outlay.operators import fx
 from tests.frames import d, rates, rows
 
-ALL = [fx.with_every_rate, fx.with_every_rate_broadcast]
+ALL = [fx.with_every_rate]
 LIMITS = [0, 1 << 20]
 
 
@@ -71,7 +71,7 @@ def test_open_ended_and_backward_intervals(spark, join):
 def test_open_ended_intervals_unroll_to_the_days_of_the_costs_only(spark):
     costs = facts(spark, ("USD", 3, 1), ("USD", 5, 1))
     quotes = rates(spark, ("USD", "EUR", 1.1, date(1, 1, 1), date(9999, 12, 31)))
-    assert fx.quotes_by_day(quotes, fx.day_span(costs)).count() == 3
+    assert fx.quotes_by_day(quotes, fx.cost_days(costs)).count() == 2
 
 
 @pytest.mark.parametrize("join", [*ALL, fx.with_first_rate])
@@ -93,3 +93,13 @@ def test_cost_eur(spark):
         (4, 1.2, None),
     ]
     assert dict(priced.dtypes)["cost_eur"] == "double"
+
+
+def test_wrong_dates_far_off_do_not_unroll_what_lies_between(spark):
+    costs = spark.createDataFrame(
+        [(0, "USD", date(1, 1, 1), 1), (1, "USD", d(3), 1), (2, "USD", date(9999, 12, 31), 1)],
+        "id int, currency string, segments_date date, metrics_cost_micros bigint",
+    )
+    quotes = rates(spark, *[("USD", "EUR", 1.0 + i, date(1, 1, 1), date(9999, 12, 31)) for i in range(5)])
+    assert fx.quotes_by_day(quotes, fx.cost_days(costs)).count() == 15
+    assert rows(fx.with_first_rate(costs, quotes), "id", "rate") == [(i, 1.0) for i in range(3)]

@@ -26,7 +26,7 @@ def test_unusable_values_become_null_and_ids_stay_text(spark):
     bad, good = typed(raw, COSTS).orderBy(F.col("segments_date").asc_nulls_first()).collect()
     assert (bad.segments_date, bad.customer_id, bad.metrics_cost_micros) == (None, "007", None)
     assert bad.last_extracted_at is None
-    assert (str(good.segments_date), good.metrics_cost_micros) == ("2024-01-05", 12)
+    assert (str(good.segments_date), good.metrics_cost_micros) == ("2024-01-05 00:00:00", 12)
 
 
 def test_time_of_day_is_dropped_from_days(spark):
@@ -57,7 +57,12 @@ def test_na_tokens(spark):
         (3.5, "3.50", "4"),
         (-2.5, "-2.50", "-2"),
         (1e9, "1000000000.00", "1000000000"),
-        (0.125, "0.13", "0"),
+        (0.125, "0.12", "0"),
+        (2.675, "2.67", "3"),
+        (1.005, "1.00", "1"),
+        (-0.375, "-0.38", "0"),
+        (0.005, "0.01", "0"),
+        (99.995, "100.00", "100"),
         (None, None, None),
     ],
 )
@@ -70,3 +75,25 @@ def test_is_close_is_relative_and_null_aware(spark):
     df = spark.createDataFrame([(1e9, 1e9 + 1.0), (1.0, 1.1), (None, 1.0)], "a double, b double")
     close = [r[0] for r in df.select(is_close(F.col("a"), F.col("b"))).collect()]
     assert close == [True, False, None]
+
+
+def test_cents_are_those_of_exact_formatting(spark):
+    import random
+
+    random.seed(7)
+    values = [random.uniform(-1, 1) * 10 ** random.randint(-6, 14) for _ in range(3000)]
+    values += [n / 8 for n in range(-200, 200)] + [n / 1000 for n in range(3000)] + [1e-300, 2.0**52]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    wrong = [r for r in df.select("x", fixed2(F.col("x")).alias("t")).collect() if r.t != f"{r.x:.2f}"]
+    assert [r for r in wrong if r.x != 0 or r.t != "0.00"] == []
+
+
+def test_numbers_that_are_not_finite_are_close_to_nothing_and_no_rates(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(nan, nan), (inf, inf), (1.0, nan)], "a double, b double")
+    assert [r[0] for r in df.select(is_close(F.col("a"), F.col("b"))).collect()] == [False] * 3
+    raw = spark.createDataFrame(
+        [("USD", "EUR", r, "2024-01-05", "2024-01-06") for r in ("NaN", "Infinity", "2")],
+        "currency string, base string, rate string, valid_from string, valid_to string",
+    )
+    assert sorted(str(r.rate) for r in typed(raw, RATES).collect()) == ["2.0", "None", "None"]

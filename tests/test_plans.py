@@ -115,7 +115,7 @@ def test_hot_customer_is_split_when_accounts_are_large(spark, no_broadcast):
     assert joined.filter("account_id = 'hot'").count() == 66_667
 
 
-@pytest.mark.parametrize("lookup", [fx.with_first_rate, fx.with_every_rate, fx.with_every_rate_broadcast])
+@pytest.mark.parametrize("lookup", [fx.with_first_rate, fx.with_every_rate])
 def test_hot_currency_and_day_is_split_when_rates_are_large(spark, no_broadcast, lookup):
     costs = hot_costs(spark).withColumnRenamed("customer_id", "currency")
     quotes = rates(spark, ("hot", "EUR", 1.2, 1, 9), ("7", "EUR", 3.0, 1, 9))

@@ -14,7 +14,10 @@ def text_costs(spark, *data):
 
 
 def text_rates(spark, *values):
-    return spark.createDataFrame([("USD", "EUR", v) for v in values], "currency string, base string, rate string")
+    return spark.createDataFrame(
+        [("USD", "EUR", v, "2024-01-01", "2024-01-31") for v in values],
+        "currency string, base string, rate string, valid_from string, valid_to string",
+    )
 
 
 def checks(report):
@@ -36,7 +39,9 @@ def test_costs_summary(spark):
 
 def test_rates_and_accounts_summary(spark):
     row = quality.rates_summary(text_rates(spark, "1.2", "abc", None, "0", "0.0")).first()
-    assert tuple(row) == (5, 2, 2)
+    assert tuple(row) == (5, 2, 2, 0, 0)
+    odd = quality.rates_summary(text_rates(spark, "NaN", "-Infinity", "-2", "1")).first()
+    assert tuple(odd) == (4, 0, 0, 2, 1)
     assert tuple(quality.accounts_summary(accounts(spark, ("1", "EUR"), (None, "EUR"))).first()) == (2, 1)
 
 
@@ -90,19 +95,21 @@ def test_mixed_currencies_mismatch_but_are_not_reported(spark):
 
 def test_output_report(spark):
     groups = [
-        (5.0, 10, 2.0, "USD", 1, 0),
-        (6.0, 10, 2.0, "USD", 1, 0),
-        (None, 10, None, "SEK", 1, 1),
-        (5.0, 10, 2.0, "EUR", 1, 0),
-        (1.0, 1, None, None, 0, 0),
+        (5.0, 10, 2.0, "USD", 1, 0, 2.0, 2.0),
+        (6.0, 10, 2.0, "USD", 1, 0, 2.0, 2.0),
+        (7.5, 20, 3.0, "USD", 1, 0, 2.0, 4.0),  # two rates: not comparable
+        (float("nan"), 10, 2.0, "USD", 1, 0, 2.0, 2.0),
+        (None, 10, None, "SEK", 1, 1, None, None),
+        (5.0, 10, 2.0, "EUR", 1, 0, 2.0, 2.0),
+        (1.0, 1, None, None, 0, 0, None, None),
     ]
     audit = spark.createDataFrame(
         groups,
         "total_spend_eur double, total_metrics_cost bigint, rate double, currency string, "
-        "n_currencies bigint, n_missing_rate bigint",
+        "n_currencies bigint, n_missing_rate bigint, least_rate double, greatest_rate double",
     )
     assert checks(quality.output_report(audit)) == {
-        "spend_matches_cost_over_rate": (False, 1),
+        "spend_matches_cost_over_rate": (False, 2),
         "spend_has_no_missing_rate": (False, 1),
         "spend_eur_rate_is_one": (False, 1),
     }

@@ -157,5 +157,5 @@ def test_cells_keep_exact_integers(spark):
     c = costs(spark, (1, "a", "x", big), (1, "a", "y", 1))
     cells = spend_cells(c, accounts(spark, ("a", "EUR")))
     assert one(cells)["_micros"] == big + 1
-    priced = price_cells(cells, rates(spark, USD), fx.day_span(c))
+    priced = price_cells(cells, rates(spark, USD), fx.cost_days(c))
     assert one(audit_spend(priced)).total_metrics_cost == big + 1
