@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from outlay.llm.common import arrow_rows, text_of
 from outlay.llm.tokens import crc
@@ -279,9 +280,8 @@ def encode_and_decode(
     may be null or repeat, other columns are ignored, an empty table gives no rows.
     """
     rows = docs.select(F.col(key).alias("_key"), text_of("text").alias("_text"))
-    schema = rows.select("_key").schema
-    for field in ROW.split(", ") + ["ids array<bigint>"] * with_ids:
-        schema = schema.add(*field.split(" "))
+    more = T.StructType.fromDDL(ROW + ", ids array<bigint>" * with_ids)
+    schema = T.StructType(rows.select("_key").schema.fields + more.fields)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = model(path, kind)
