@@ -2,26 +2,28 @@
 
 ``row_number()`` sends each window partition to one task: the whole table without partition keys,
 a hot key with them. Here the table is range-sorted instead, which cuts it wherever the sort key
-allows, and the sorted partitions are numbered from their lengths. The sorted table is
-checkpointed, so both uses of it see the same partitions, also after an executor is lost.
+allows, and the sorted partitions are numbered from their lengths. The sorted table is written
+out with each row's partition and place, so both uses of it see the same ones, also after an
+executor is lost, and the lengths come from one column.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from outlay.sources.scratch import shared_dir
+from outlay.sources.scratch import staged
 
 _PART, _POS, _OFFSET = "_part", "_pos", "_offset"
 _POSITION_BITS = (1 << 33) - 1  # low bits of monotonically_increasing_id: row within partition
 
 
 def _sorted_parts(df: DataFrame, order: list[Column]) -> DataFrame:
-    shared_dir(df.sparkSession)
-    parts = df.orderBy(*order).checkpoint()
-    return parts.select(
-        "*",
-        F.spark_partition_id().alias(_PART),
-        F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_BITS)).alias(_POS),
+    return staged(
+        df.orderBy(*order).select(
+            "*",
+            F.spark_partition_id().alias(_PART),
+            F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_BITS)).alias(_POS),
+        ),
+        "sorted",
     )
 
 

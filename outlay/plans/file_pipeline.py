@@ -13,7 +13,7 @@ from outlay.operators.spend import public_spend
 from outlay.plans.daily_spend import SpendOptions, latest_costs, spend_audit
 from outlay.sources.files import ORDINAL, read_csv
 from outlay.sources.schemas import ACCOUNTS, COSTS, RATES, SPEND_KEY
-from outlay.sources.scratch import new_table_path, shared_dir
+from outlay.sources.scratch import shared_dir, staged
 from outlay.sources.sinks import write_lines, write_report
 
 # Output checks that only inform by default: a missing rate shows as a NULL total.
@@ -36,14 +36,6 @@ class Outcome:
     checks: DataFrame
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Parse the CSV once: the checks and the plan then read only their columns, from Parquet."""
-    spark = df.sparkSession
-    path = new_table_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def run(
     spark: SparkSession,
     costs_path: str | list[str],
@@ -57,7 +49,10 @@ def run(
 ) -> Outcome:
     """Read, check, compute, check again. With ``gate`` a failed check raises ``QualityError``.
 
-    Bare dates and times are read in the session time zone, which should be UTC.
+    Bare dates and times are read in the session time zone, which should be UTC. Each CSV is parsed
+    once, to Parquet in the shared folder: the checks and the plan then read only their columns.
+    Inside :func:`outlay.sources.scratch.scope` those tables go when the scope ends; the outcome is
+    checkpointed by then and needs none of them.
     """
     raw_costs = staged(read_csv(spark, costs_path, na_tokens, line_breaks), "costs")
     raw_accounts = staged(read_csv(spark, accounts_path, na_tokens, line_breaks), "accounts")

@@ -2,6 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
+from outlay.sources import scratch
 from outlay.sources.scratch import new_table_path, shared_dir
 
 
@@ -32,3 +33,20 @@ def test_a_cluster_without_setting_is_refused():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(session("yarn"))
     assert shared_dir(session("yarn", "hdfs:///scratch")) == "hdfs:///scratch"
+
+
+def test_a_scope_removes_its_own_tables_only(spark):
+    def there(df):
+        try:
+            return df.count() >= 0
+        except Exception:
+            return False
+
+    outer = scratch.staged(spark.range(3).toDF("x"), "outer")
+    with scratch.scope(spark):
+        inner = scratch.staged(spark.range(3).toDF("x"), "inner")
+        with scratch.scope(spark):
+            innermost = scratch.staged(spark.range(3).toDF("x"), "innermost")
+            assert there(innermost)
+        assert there(inner) and not there(innermost)
+    assert there(outer) and not there(inner)
