@@ -5,12 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from outlay.llm.common import staged
 from outlay.llm.exact_dedup import drop_exact_duplicates
 from outlay.llm.ngram_join import drop_similar
 from outlay.llm.packing import pack
 from outlay.llm.substrings import drop_repeated_passages
 from outlay.llm.toxicity import drop_toxic
+from outlay.sources.scratch import new_table_path, scope
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +51,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``, each written to the shared folder and read by the next."""
+    """The stages over ``documents``, each written to the shared folder and read by the next.
+
+    What a stage wrote for itself is removed when its result is written.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        path = new_table_path(spark, name)
+        with scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs

@@ -3,6 +3,7 @@
 import zlib
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -189,3 +190,15 @@ def test_stages_keep_the_columns_and_the_clean_documents(spark):
 
 def test_every_numbered_query_is_registered():
     assert [n.split("_")[0] for n in queries.queries()] == [f"op{i}" for i in range(1, 11)]
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_queries_agree_with_their_sql(spark, name):
+    db = duckdb.connect()
+    for table in ("documents", "pages"):
+        db.sql(f"create view {table} as select * from '{SMALL}/{table}.parquet'")
+    found = queries.queries()[name](spark, SMALL)
+    columns = sorted(found.columns)
+    want = db.sql(f"select {', '.join(columns)} from ({queries.oracle_sql()[name]})").fetchall()
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, found.select(columns).collect()), key=key) == sorted(want, key=key)
