@@ -21,7 +21,7 @@ from outlay.llm.common import (
 )
 from outlay.llm.shingles import shingle_sets
 
-# A shingle in the prefixes of more sets than this is moved to the end of the common order.
+# A shingle in more sets than this is moved to the end of the common order.
 FREQUENT = 16
 # Frequent shingles known to every task, at most. They only decide the order, so the bound costs
 # time where it is reached, never a link.
@@ -45,9 +45,20 @@ def _id_of(values: np.ndarray) -> int:
 SETS = "_id string, _text bigint, n bigint, cls bigint, prefix array<bigint>"
 
 
-def _prefixes(rows: DataFrame, k: int, percent: int, frequent: np.ndarray | None) -> DataFrame:
-    """Size, id and first shingles of every row's set, in the common order: by hash, with the
-    frequent ones last."""
+Frequent = tuple[np.ndarray, np.ndarray]  # shingles, ascending, and the magnitude of their counts
+
+
+def _in_order(values: np.ndarray, frequent: Frequent) -> np.ndarray:
+    """A set (by hash) in the common order: the frequent ones last, the more frequent the later."""
+    tokens, levels = frequent
+    at = np.minimum(np.searchsorted(tokens, values), len(tokens) - 1)
+    late = tokens[at] == values
+    last, level = values[late], levels[at[late]]
+    return np.concatenate((values[~late], last[np.argsort(level, kind="stable")]))
+
+
+def _prefixes(rows: DataFrame, k: int, percent: int, frequent: Frequent | None) -> DataFrame:
+    """Size, id and first shingles of every row's set, in the common order."""
     shared = rows.sparkSession.sparkContext.broadcast(frequent) if frequent is not None else None
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,9 +70,7 @@ def _prefixes(rows: DataFrame, k: int, percent: int, frequent: np.ndarray | None
                 sizes.append(n)
                 ids.append(_id_of(values) if n else None)
                 if late is not None and n:
-                    at = np.minimum(np.searchsorted(late, values), len(late) - 1)
-                    is_late = late[at] == values
-                    values = np.concatenate((values[~is_late], values[is_late]))
+                    values = _in_order(values, late)
                 firsts.append(values[: prefix_length(n, percent) if n else 0].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_id"), batch.column("_text"), pa.array(sizes, pa.int64()),
@@ -72,26 +81,57 @@ def _prefixes(rows: DataFrame, k: int, percent: int, frequent: np.ndarray | None
     return rows.select("_id", "_text", "text").mapInArrow(extract, SETS)
 
 
-def _frequent(classes: DataFrame) -> np.ndarray:
-    """The shingles in most prefixes, sorted; as many as every task can be told."""
+def _frequent(tokens: DataFrame) -> Frequent:
+    """The shingles (``token``) that occur most, as many as every task can be told."""
     counts = staged(
-        classes.select(F.explode("prefix").alias("token"))
-        .groupBy("token")
-        .count()
-        .where(F.col("count") > FREQUENT),
+        tokens.groupBy("token").count().where(F.col("count") > FREQUENT)
+        .select("token", F.floor(F.log2("count")).cast("int").alias("level")),
         "frequent",
-    )
+    )
     # by powers of two, so that what is looked at stays small whatever the counts are
-    level = F.floor(F.log2("count")).cast("int")
-    sizes = counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect()
+    sizes = counts.groupBy("level").count().orderBy(F.desc("level")).collect()
     least, total = 64, 0
     for row in sizes:
         total += row["count"]
         if total > MOST_FREQUENT:
             break
         least = row["level"]
-    tokens = counts.where(level >= least).select("token").toArrow().column("token")
-    return np.sort(np.asarray(tokens, np.int64).view(np.uint64))
+    found = counts.where(F.col("level") >= least).toArrow()
+    names = np.asarray(found.column("token"), np.int64).view(np.uint64)
+    order = np.argsort(names)
+    return names[order], np.asarray(found.column("level"), np.int8)[order]
+
+
+def _holding(classes: DataFrame, frequent: Frequent) -> DataFrame:
+    """Keys of the sets with a frequent shingle in their prefix."""
+    shared = classes.sparkSession.sparkContext.broadcast(np.sort(frequent[0].view(np.int64)))
+
+    def holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in batches:
+            lists = batch.column("prefix")
+            flat = np.asarray(lists.flatten())
+            at = np.minimum(np.searchsorted(known, flat), len(known) - 1)
+            owner = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
+            keep = np.zeros(len(lists), bool)
+            keep[owner[known[at] == flat]] = True
+            yield batch.select(["_id", "_text"]).filter(pa.array(keep))
+
+    return staged(
+        classes.select("_id", "_text", "prefix").mapInArrow(holding, "_id string, _text bigint"),
+        "holding",
+    )
+
+
+def _all_shingles(rows: DataFrame, k: int) -> DataFrame:
+    """The shingles of all sets, one row for each set that has it."""
+
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in arrow_rows(batches, ROWS_AT_ONCE):
+            for values in shingle_sets(batch.column("text").to_pylist(), k):
+                yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64))], ["token"])
+
+    return rows.select("text").mapInArrow(extract, "token bigint")
 
 
 def _needed(n: Column, m: Column, percent: int) -> Column:
@@ -149,9 +189,10 @@ def similar_groups(
 
     The join, on sets without their copies:
 
-    1. All sets are put in one order, by hash but with shingles that are frequent among prefixes
-       last, and reduced to prefixes of which linked sets must share a shingle. What many documents
-       share (passages, boilerplate) thus rarely is in a prefix.
+    1. All sets are put in one order, by hash but with frequent shingles last, and reduced to
+       prefixes of which linked sets must share a shingle. What many documents share (passages,
+       boilerplate) thus rarely is in a prefix. Which shingles are frequent is found in two steps:
+       those frequent among prefixes by hash tell the sets to count all shingles of.
     2. Sets of equal size and prefix are one group; groups meet in the buckets of their prefix
        shingles. In each bucket, every group is first paired with one leader only: that in which
        the shingle comes first, the one with the fewest shingles of its own, such as the original
@@ -162,38 +203,21 @@ def similar_groups(
        and verified. No link between components is lost, and no group is written out as all pairs.
     """
     table = docs.select(F.col(key).alias("_key"), *same_row(key), text_of("text").alias("text"))
-    spark = docs.sparkSession
     rows = staged(_prefixes(table, k, percent, None).withColumn("row", F.monotonically_increasing_id()), "sets")
     some = F.struct("_id", "_text", "n", "prefix")
     classes = staged(
         rows.where("n > 0").groupBy("cls").agg(F.first(some).alias("rep")).select("cls", "rep.*"),
         "classes",
     )
-    frequent = _frequent(classes)
-    if len(frequent):
-        late = spark.sparkContext.broadcast(frequent.view(np.int64))
-
-        def touched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            hot = np.sort(late.value)
-            for batch in batches:
-                lists = batch.column("prefix")
-                flat = np.asarray(lists.flatten())
-                at = np.minimum(np.searchsorted(hot, flat), len(hot) - 1)
-                owner = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets)))
-                keep = np.zeros(len(lists), bool)
-                keep[owner[hot[at] == flat]] = True
-                yield batch.select(["cls", "_id", "_text"]).filter(pa.array(keep))
-
-        again = staged(
-            classes.select("cls", "_id", "_text", "prefix").mapInArrow(
-                touched, "cls bigint, _id string, _text bigint"
-            ),
-            "touched",
-        )
-        reread = table.join(measured(again, SMALL_BYTES), ["_id", "_text"], "left_semi")
-        redone = staged(
-            _prefixes(reread, k, percent, frequent).dropDuplicates(["cls"]), "redone"
-        )
+    first = _frequent(classes.select(F.explode("prefix").alias("token")))
+    if len(first[0]):
+        # What is frequent in prefixes tells which sets hold shared passages; there, count all.
+        def of(keys: DataFrame) -> DataFrame:
+            return table.join(measured(keys, SMALL_BYTES), ["_id", "_text"], "left_semi")
+
+        frequent = _frequent(_all_shingles(of(_holding(classes, first)), k))
+        redone = _prefixes(of(_holding(classes, frequent)), k, percent, frequent)
+        redone = staged(redone.dropDuplicates(["cls"]), "redone")
         classes = classes.join(redone.select("cls").hint("merge"), "cls", "left_anti").unionByName(
             redone.select(*classes.columns)
         )
