@@ -35,7 +35,7 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def _id_of(values: np.ndarray) -> int:
+def set_id(values: np.ndarray) -> int:
     """A 63-bit id of a set or prefix."""
     import xxhash
 
@@ -68,7 +68,7 @@ def _prefixes(rows: DataFrame, k: int, percent: int, frequent: Frequent | None)
             for values in shingle_sets(batch.column("text").to_pylist(), k):
                 n = len(values)
                 sizes.append(n)
-                ids.append(_id_of(values) if n else None)
+                ids.append(set_id(values) if n else None)
                 if late is not None and n:
                     values = _in_order(values, late)
                 firsts.append(values[: prefix_length(n, percent) if n else 0].view(np.int64))
@@ -174,35 +174,10 @@ def _linked(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
     )
 
 
-def similar_groups(
-    docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id"
-) -> DataFrame:
-    """One row per document: ``key``, ``n_shingles``, ``component_id``, ``_component``, ``_id``,
-    ``_text`` (see :func:`common.same_row`).
-
-    Documents are linked when the sets of their distinct ``k``-word shingles have a Jaccard
-    similarity of at least ``percent`` / 100. ``component_id`` is the smallest key that links lead
-    to (null only where all those keys are), ``_component`` the same component as a number. A null
-    or blank text has no shingles and is alone, with a null ``_component``; shorter texts have their
-    whole sequence of words as one shingle. Repeated rows and equal sets are one component. Other
-    columns are ignored; an empty table gives no rows.
-
-    The join, on sets without their copies:
-
-    1. All sets are put in one order, by hash but with frequent shingles last, and reduced to
-       prefixes of which linked sets must share a shingle. What many documents share (passages,
-       boilerplate) thus rarely is in a prefix. Which shingles are frequent is found in two steps:
-       those frequent among prefixes by hash tell the sets to count all shingles of.
-    2. Sets of equal size and prefix are one group; groups meet in the buckets of their prefix
-       shingles. In each bucket, every group is first paired with one leader only: that in which
-       the shingle comes first, the one with the fewest shingles of its own, such as the original
-       of many copies. Pairs that sizes and places rule out are left out, the others are expanded
-       to their members and verified on the texts.
-    3. Members of one component need no further comparison. Only buckets that still hold several
-       components are joined with themselves, again without pairs that sizes and places rule out,
-       and verified. No link between components is lost, and no group is written out as all pairs.
-    """
-    table = docs.select(F.col(key).alias("_key"), *same_row(key), text_of("text").alias("text"))
+def linked_sets(table: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The join of :func:`similar_groups` over the texts of ``table`` (``_id``, ``_text``, ``text``):
+    a row of each text with its size ``n`` and the id of its set ``cls``, and the sets that are
+    linked (``node``) with their component (``root``)."""
     rows = staged(_prefixes(table, k, percent, None).withColumn("row", F.monotonically_increasing_id()), "sets")
     some = F.struct("_id", "_text", "n", "prefix")
     classes = staged(
@@ -318,7 +293,40 @@ def similar_groups(
         more_links = staged(_linked(more, texts_for(more), k, percent), "more-links")
         hung = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
         roots = staged(components(hung.unionByName(more_links)), "roots")
+    return rows, roots
+
 
+def similar_groups(
+    docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id"
+) -> DataFrame:
+    """One row per document: ``key``, ``n_shingles``, ``component_id``, ``_component``, ``_id``,
+    ``_text`` (see :func:`common.same_row`).
+
+    Documents are linked when the sets of their distinct ``k``-word shingles have a Jaccard
+    similarity of at least ``percent`` / 100. ``component_id`` is the smallest key that links lead
+    to (null only where all those keys are), ``_component`` the same component as a number. A null
+    or blank text has no shingles and is alone, with a null ``_component``; shorter texts have their
+    whole sequence of words as one shingle. Repeated rows and equal sets are one component. Other
+    columns are ignored; an empty table gives no rows.
+
+    The join, on sets without their copies:
+
+    1. All sets are put in one order, by hash but with frequent shingles last, and reduced to
+       prefixes of which linked sets must share a shingle. What many documents share (passages,
+       boilerplate) thus rarely is in a prefix. Which shingles are frequent is found in two steps:
+       those frequent among prefixes by hash tell the sets to count all shingles of.
+    2. Sets of equal size and prefix are one group; groups meet in the buckets of their prefix
+       shingles. In each bucket, every group is first paired with one leader only: that in which
+       the shingle comes first, the one with the fewest shingles of its own, such as the original
+       of many copies. Pairs that sizes and places rule out are left out, the others are expanded
+       to their members and verified on the texts.
+    3. Members of one component need no further comparison. Only buckets that still hold several
+       components are joined with themselves, again without pairs that sizes and places rule out,
+       and verified. No link between components is lost, and no group is written out as all pairs.
+    """
+    rows, roots = linked_sets(
+        docs.select(*same_row(key), text_of("text").alias("text")), k, percent
+    )
     ids = docs.schema[key].dataType
     keyed = staged(
         rows.select("_id", "_text", "n", "cls", F.when(F.col("_id") != "-", F.col("_id"))

@@ -1,140 +1,138 @@
-"""Passages that documents share: paragraphs banded by MinHash, verified, and cut from the texts."""
+"""Passages that documents share: equal runs of words, and lines that are alike, cut from the texts."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from outlay.llm.common import (
-    SMALL_BYTES,
-    arrow_rows,
-    components,
-    measured,
-    same_row,
-    staged,
-    text_of,
-)
-from outlay.llm.shingles import mix, rolled, word_hashes
+from outlay.llm.common import SMALL_BYTES, arrow_rows, measured, same_row, staged, text_of
+from outlay.llm.ngram_join import linked_sets, set_id
+from outlay.llm.shingles import mix, rolled, shingle_sets, word_hashes
 
 WORDS = 5  # of a shingle
 PERCENT = 80  # Jaccard similarity of paragraphs that count as one
-RECALL = 0.99  # chance, at least, that such paragraphs meet in a band
-REACH = 5  # words on either side that a cut inside a line looks at
-MIN_RUN = 20  # words of consecutive repeated paragraphs that are a passage
+MIN_RUN = 20  # words of a passage, at least
 ROWS_AT_ONCE = 256
 
 
-def bands(percent: int = PERCENT, recall: float = RECALL) -> int:
-    """Bands of one MinHash value each that let pairs at the threshold meet with that chance.
-
-    Paragraphs have few shingles, so more values a band would cost recall and save little.
-    """
-    return math.ceil(math.log(1 - recall) / math.log(1 - percent / 100))
-
-
-_SEEDS = mix(np.arange(101, 164, dtype=np.uint64))
-
-
-class Paragraphs:
-    """The paragraphs of a batch of texts: lines, long ones cut where their words say so.
+class Windows:
+    """All runs of ``MIN_RUN`` words of a batch of texts, whatever lines they stand in.
 
-    A word starts a new paragraph if the hash of it and its successor is smaller than those of the
-    ``REACH`` words before it and not larger than those after. A passage is thus cut in the same
-    places in whatever document, line or position it stands, except for its first and last words.
+    The anchor of a window is the smallest hash of the ``WORDS``-word shingles in it. Windows in a
+    row that share their anchor are one segment, about nine of them. Equal windows have one anchor,
+    so only segments whose anchor occurs again can hold a window that does.
     """
 
     def __init__(self, texts: list[str]):
-        words, owner, start, end, line = word_hashes(texts)
-        n = len(words)
-        rank = np.zeros(n, np.uint64)
-        if n > 1:
-            rank[:-1] = rolled(words, 2)
-        least = np.ones(n, bool)
-        for s in range(1, REACH + 1):
-            least[s:] &= rank[s:] < rank[:-s]
-            least[:-s] &= rank[:-s] <= rank[s:]
-        first = np.ones(n, bool)
-        first[1:] = line[1:] != line[:-1]
-        heads = np.flatnonzero(first | least)
-        tails = np.append(heads[1:], n)[: len(heads)]
-        self.size = tails - heads
-        self.owner = owner[heads] if n else np.zeros(0, np.int64)
-        self.start = start[heads] if n else heads
-        self.end = end[tails - 1] if n else heads
-        begins = np.searchsorted(self.owner, np.arange(len(texts)))
-        self.number = np.arange(len(heads)) - begins[self.owner] if n else heads
-        # shingles, those inside a paragraph only
-        hashes = rolled(words, WORDS)
-        unit = np.repeat(np.arange(len(heads)), self.size)
-        inside = unit[: len(hashes)] == unit[WORDS - 1 :] if len(hashes) else np.zeros(0, bool)
-        pairs = unit[: len(hashes)][inside], hashes[inside]
-        order = np.lexsort((pairs[1], pairs[0]))
-        unit, value = pairs[0][order], pairs[1][order]
-        new = np.ones(len(unit), bool)
-        new[1:] = (unit[1:] != unit[:-1]) | (value[1:] != value[:-1])
-        self.unit, self.value = unit[new], value[new]
-        self.long = np.unique(self.unit)  # paragraphs that have a shingle
-        self.at = np.searchsorted(self.unit, self.long)
-
-    def set_ids(self) -> np.ndarray:
-        """A 63-bit id of the shingle set of every long paragraph."""
-        if not len(self.at):
-            return np.zeros(0, np.int64)
-        total = np.add.reduceat(mix(self.value), self.at)
-        count = np.diff(np.append(self.at, len(self.unit))).astype(np.uint64)
-        return (mix(total + count) >> np.uint64(1)).view(np.int64)
-
-    def signature(self, n: int) -> np.ndarray:
-        """MinHash values of the long paragraphs, one row a value."""
-        if not len(self.at):
-            return np.zeros((n, 0), np.int64)
-        rows = [np.minimum.reduceat(mix(self.value ^ seed), self.at) for seed in _SEEDS[:n]]
-        return (mix(np.stack(rows) + _SEEDS[:n, None]) >> np.uint64(1)).view(np.int64)
-
-
-UNITS = (
-    "_id string, _text bigint, unit int, first int, last int, words int, para bigint, "
-    "keys array<bigint>"
-)
-
-
-def _units(table: DataFrame) -> DataFrame:
-    n = bands()
+        words, owner, *_ = word_hashes(texts)
+        n = max(0, len(words) - MIN_RUN + 1)
+        least, width = rolled(words, WORDS), 1
+        while n and width < MIN_RUN - WORDS + 1:
+            step = min(width, MIN_RUN - WORDS + 1 - width)
+            least, width = np.minimum(least[:-step], least[step:]), width + step
+        at = np.flatnonzero(owner[:n] == owner[MIN_RUN - 1 :]) if n else np.zeros(0, np.int64)
+        self.value = rolled(words, MIN_RUN)[at].view(np.int64)
+        anchor, owner_of = least[at], owner[at]
+        new = np.ones(len(at), bool)
+        new[1:] = (anchor[1:] != anchor[:-1]) | (owner_of[1:] != owner_of[:-1])
+        self.head = np.flatnonzero(new)
+        self.size = np.diff(np.append(self.head, len(at)))
+        self.owner = owner_of[self.head]
+        self.word = at[self.head] - np.searchsorted(owner, self.owner)
+        self.anchor = anchor[self.head].view(np.int64)
+        number = np.repeat(np.arange(len(self.head)), self.size)
+        value = self.value.view(np.uint64)
+        inner = mix((np.arange(len(at)) - self.head[number] + 1).astype(np.uint64))
+        sums = np.add.reduceat(mix(value ^ inner), self.head) if len(at) else value
+        self.segment = mix(sums).view(np.int64)
+        # segments that hold a window twice, as texts do that repeat a few words over and over
+        order = np.lexsort((value, number))
+        same = (value[order][1:] == value[order][:-1]) & (number[order][1:] == number[order][:-1])
+        self.twice = np.zeros(len(self.head), bool)
+        self.twice[number[order][1:][same]] = True
+
+
+def _segments(table: DataFrame) -> DataFrame:
+    schema = (
+        "_id string, _text bigint, anchor bigint, seg bigint, word int, size int, twice boolean"
+    )
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_rows(batches, ROWS_AT_ONCE):
-            p = Paragraphs(batch.column("text").to_pylist())
-            owner = pa.array(p.owner[p.long])
-            keys = p.signature(n).T.reshape(-1)
-            offsets = np.arange(0, len(keys) + 1, n, dtype=np.int32)
-            columns = [batch.column("_id").take(owner), batch.column("_text").take(owner)]
-            columns += [
-                pa.array(x[p.long].astype(np.int32)) for x in (p.number, p.start, p.end, p.size)
-            ]
-            columns += [pa.array(p.set_ids()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys))]
+            w = Windows(batch.column("text").to_pylist())
+            owner = pa.array(w.owner)
             yield pa.RecordBatch.from_arrays(
-                columns, ["_id", "_text", "unit", "first", "last", "words", "para", "keys"]
-            )
+                [batch.column("_id").take(owner), batch.column("_text").take(owner),
+                 pa.array(w.anchor), pa.array(w.segment), pa.array(w.word.astype(np.int32)),
+                 pa.array(w.size.astype(np.int32)), pa.array(w.twice)],
+                ["_id", "_text", "anchor", "seg", "word", "size", "twice"],
+            )
 
-    return table.select("_id", "_text", "text").mapInArrow(extract, UNITS)
+    return table.select("_id", "_text", "text").mapInArrow(extract, schema)
 
 
-def _sets(table: DataFrame) -> DataFrame:
-    """Id and shingles of all paragraphs."""
+def _values(table: DataFrame) -> DataFrame:
+    """The windows of all segments."""
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_rows(batches, ROWS_AT_ONCE):
-            p = Paragraphs(batch.column("text").to_pylist())
-            offsets = np.append(p.at, len(p.unit)).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(p.value.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(p.set_ids()), lists], ["para", "shingles"])
+            w = Windows(batch.column("text").to_pylist())
+            offsets = np.append(w.head, len(w.value)).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(w.value))
+            yield pa.RecordBatch.from_arrays([pa.array(w.segment), lists], ["seg", "values"])
+
+    return table.select("text").mapInArrow(extract, "seg bigint, values array<bigint>")
+
+
+def lines(texts: list[str]) -> tuple[np.ndarray, ...]:
+    """The lines of a batch of texts, those of fewer than ``WORDS`` words glued to such lines beside
+    them: text, first word in it, words, first byte, byte after the last."""
+    words, owner, start, end, line = word_hashes(texts)
+    n = len(words)
+    first = np.ones(n, bool)
+    first[1:] = line[1:] != line[:-1]
+    heads = np.flatnonzero(first)
+    short = np.diff(np.append(heads, n)) < WORDS
+    glued = np.zeros(len(heads), bool)
+    glued[1:] = short[1:] & short[:-1] & (owner[heads[1:]] == owner[heads[:-1]])
+    heads = heads[~glued]
+    tails = np.append(heads[1:], n)[: len(heads)]
+    of = owner[heads]
+    return of, heads - np.searchsorted(owner, of), tails - heads, start[heads], end[tails - 1]
+
+
+def _lines(table: DataFrame, with_text: bool) -> DataFrame:
+    """Place, size and id of the shingle set of every line, or else its text."""
+    schema = "_id string, _text bigint, text string" if with_text else (
+        "_id string, _text bigint, word int, words int, cls bigint"
+    )
+
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
 
-    return table.select("text").mapInArrow(extract, "para bigint, shingles array<bigint>")
+        for batch in arrow_rows(batches, ROWS_AT_ONCE):
+            texts = batch.column("text").to_pylist()
+            of, word, size, start, end = lines(texts)
+            raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+            parts = [raw[i][a:b] for i, a, b in zip(of.tolist(), start.tolist(), end.tolist(), strict=True)]
+            found = [x.decode("utf-8", "surrogatepass") for x in parts]
+            if with_text:
+                keys = [xxhash.xxh3_64_intdigest(x) - (1 << 63) for x in parts]
+                columns = [pa.array([""] * len(parts), pa.string()), pa.array(keys, pa.int64()),
+                           pa.array(found, pa.string())]
+            else:
+                owner = pa.array(of)
+                sets = [set_id(x) for x in shingle_sets(found, WORDS)]
+                columns = [batch.column("_id").take(owner), batch.column("_text").take(owner),
+                           pa.array(word.astype(np.int32)), pa.array(size.astype(np.int32)),
+                           pa.array(sets, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in schema.split(", ")])
+
+    return table.select("_id", "_text", "text").mapInArrow(extract, schema)
 
 
 SPANS = (
@@ -144,121 +142,159 @@ SPANS = (
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Consecutive repeated paragraphs of one document, all removed or all kept, as spans."""
+    """Ranges of words of one document, all removed or all kept, that touch, as spans of bytes."""
+    names = [x.split()[0] for x in SPANS.split(", ")]
+    kinds = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(),
+             pa.int64(), pa.string()]
     for batch in arrow_rows(batches, ROWS_AT_ONCE):
         out = []
         for row in batch.to_pylist():
-            run: list[dict] = []
-            for u in [*row["units"], None]:
-                if run and (u is None or u["unit"] != run[-1]["unit"] + 1
-                            or u["removed"] != run[0]["removed"]):
-                    words = sum(x["words"] for x in run)
-                    if words >= MIN_RUN:
-                        head = run[0]
-                        out.append((row["_id"], row["_text"], head["first"], run[-1]["last"], words,
-                                    head["removed"], head["cluster"], head["keep"]))
-                    run = []
-                if u is not None:
-                    run.append(u)
-        names = [x.split()[0] for x in SPANS.split(", ")]
-        kinds = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(),
-                 pa.int64(), pa.string()]
+            _, _, start, end, _ = word_hashes([row["text"]])
+            for removed in (False, True):
+                runs: list[list] = []
+                for u in row["ranges"]:
+                    if u["removed"] == removed:
+                        if runs and u["a"] <= runs[-1][1]:
+                            runs[-1][1] = max(runs[-1][1], u["b"])
+                        else:
+                            runs.append([u["a"], u["b"], u["cluster"], u["keep"]])
+                for a, b, cluster, keep in runs:
+                    if b - a >= MIN_RUN:
+                        out.append((row["_id"], row["_text"], int(start[a]), int(end[b - 1]), b - a,
+                                    removed, cluster, keep))
         columns = list(zip(*out, strict=True)) or [[]] * len(names)
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names
         )
 
 
-def repeated_passages(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """One row per passage that occurs more than once, in every place it occurs: ``key``,
-    ``start``, ``end`` (bytes of the UTF-8 text, end excluded), ``n_words``, ``removed``,
-    ``cluster_id``, ``keep_id`` (the document whose copy of the passage's first paragraph stays),
-    ``_id``, ``_text``.
+def _moved(place: Column, by: Column) -> Column:
+    return place.withField("word", place["word"] + by)
 
-    A passage is a run of consecutive paragraphs (:class:`Paragraphs`) of ``MIN_RUN`` words or more
-    that all occur elsewhere, in the same or another document. Paragraphs are one if the Jaccard
-    similarity of their sets of ``WORDS``-word shingles is at least ``PERCENT`` / 100, directly or
-    through others; paragraphs of fewer words have no shingle and are left alone. Of each cluster
-    the copy in the document with the smallest key (null last), in its first place, stays. Null and
-    blank texts have no passages; rows that repeat key and text count as one document. Other columns
-    are ignored; an empty table gives no rows.
 
-    Paragraphs are banded by MinHash values. In each band of several, all are paired with the
-    smallest one only, by a join that can be split, and verified on their shingles; equal sets need
-    no pair. What links leave is clustered as connected components.
-    """
-    table = docs.select(*same_row(key), text_of("text").alias("text"))
-    units = staged(_units(table), "paragraphs")
-    banded = units.select("para", F.explode("keys").alias("key"))
-    shared = staged(
-        banded.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("para").alias("least"))
+def _ranges(a: Column, size: Column, cluster: Column, place: Column, keep: Column) -> list[Column]:
+    return [
+        "_id", "_text", a.cast("int").alias("a"), (a + size).cast("int").alias("b"),
+        (place != keep).alias("removed"), cluster.alias("cluster"), keep["_id"].alias("keep"),
+    ]
+
+
+def _equal_runs(table: DataFrame, place: Column) -> DataFrame:
+    """The words of all windows that occur again, as ranges."""
+    segments = staged(_segments(table), "segments")
+    anchors = staged(
+        segments.groupBy("anchor")
+        .agg(
+            F.sum(F.when(F.col("twice"), 2).otherwise(1)).alias("n"),
+            ((F.min("seg") != F.max("seg")) | F.max("twice")).alias("mixed"),
+        )
         .where("n > 1")
-        .select("key", "least"),
-        "bands",
-    )
-    met = staged(
-        banded.join(shared.hint("merge"), "key").select("para", "least").distinct(), "met"
+        .select("anchor", "mixed"),
+        "anchors",
     )
-    pairs = met.where("para <> least")
-    near = staged(
-        pairs.select("para").unionByName(pairs.select(F.col("least").alias("para"))).distinct(),
-        "near",
+    places = staged(
+        segments.join(anchors.hint("merge"), "anchor").select(
+            "_id", "_text", "seg", "word", "size", "mixed"
+        ),
+        "places",
     )
-    # one document that holds each of them
-    holders = (
-        units.select("para", "_id", "_text")
-        .join(measured(near, SMALL_BYTES), "para", "left_semi")
-        .groupBy("para")
-        .agg(F.min(F.struct("_id", "_text")).alias("at"))
-        .select("at._id", "at._text")
-        .distinct()
+    keys = staged(
+        places.groupBy("seg").agg(
+            F.min(place).alias("low"), F.max(place).alias("high"), F.max("mixed").alias("mixed")
+        ),
+        "keys",
     )
-    sources = table.join(measured(staged(holders, "holders"), SMALL_BYTES), ["_id", "_text"], "left_semi")
-    sets = staged(
-        _sets(sources).join(measured(near, SMALL_BYTES), "para", "left_semi").dropDuplicates(["para"]),
-        "sets",
+    # Where all segments of an anchor are the same one, its windows are repeated if it is.
+    alone = keys.where("not mixed and low <> high").select("seg", "low")
+    whole = places.where("not mixed").join(alone.hint("merge"), "seg")
+    size = F.col("size") + (MIN_RUN - 1)
+    ranges = whole.select(*_ranges(F.col("word"), size, F.col("seg"), place, F.col("low")))
+    # Of the others, windows are compared, once for each distinct segment.
+    mixed = keys.where("mixed").select("seg", "low", "high")
+    holders = staged(mixed.select("low._id", "low._text").distinct(), "holders")
+    sources = table.join(measured(holders, SMALL_BYTES), ["_id", "_text"], "left_semi")
+    values = staged(
+        _values(sources).dropDuplicates(["seg"]).join(mixed.hint("merge"), "seg")
+        .select("seg", "low", "high", F.posexplode("values").alias("k", "value"))
+        .select("seg", "k", "value", _moved(F.col("low"), F.col("k")).alias("low"),
+                _moved(F.col("high"), F.col("k")).alias("high")),
+        "values",
+    )
+    again = staged(
+        values.groupBy("value").agg(F.min("low").alias("keep"), F.max("high").alias("high"))
+        .where("keep <> high").select("value", "keep"),
+        "again",
+    )
+    marks = staged(
+        values.select("seg", "k", "value").join(again.hint("merge"), "value"), "marks"
     )
-    both = (
-        pairs.join(sets.select("para", F.col("shingles").alias("x")).hint("merge"), "para")
-        .join(sets.select(F.col("para").alias("least"), F.col("shingles").alias("y")).hint("merge"),
-              "least")
+    parts = places.where("mixed").join(marks.hint("merge"), "seg")
+    return ranges.unionByName(
+        parts.select(*_ranges(F.col("word") + F.col("k"), F.lit(MIN_RUN), F.col("value"),
+                              _moved(place, F.col("k")), F.col("keep")))
     )
-    common = F.size(F.array_intersect("x", "y"))
-    alike = 100 * common >= PERCENT * (F.size("x") + F.size("y") - common)
-    links = staged(both.where(alike).select(F.col("para").alias("a"), F.col("least").alias("b")), "links")
-    roots = components(links)
-
-    # Paragraphs that occur again: as the same set, or linked to another.
-    candidates = staged(
-        units.select("_id", "_text", "unit", "first", "last", "words", "para").join(
-            measured(staged(met.select("para").distinct(), "candidates"), 2 * SMALL_BYTES),
-            "para", "left_semi",
-        ),
-        "places",
+
+
+def _like_lines(table: DataFrame, place: Column) -> DataFrame:
+    """The words of all lines that are like another, as ranges."""
+    found = staged(_lines(table, False), "lines")
+    _, roots = linked_sets(_lines(table, True), WORDS, PERCENT)
+    clustered = staged(
+        found.groupBy("cls").agg(F.min(place).alias("low"), F.max(place).alias("high"))
+        .join(roots.withColumnRenamed("node", "cls").hint("merge"), "cls", "left")
+        .select("cls", "low", "high", F.coalesce("root", "cls").alias("cluster")),
+        "clustered",
     )
-    clusters = staged(
-        candidates.groupBy("para").count()
-        .join(roots.select(F.col("node").alias("para"), "root").hint("merge"), "para", "left")
-        .where("count > 1 or root is not null")
-        .select("para", F.coalesce("root", "para").alias("cluster")),
-        "clusters",
+    kept = staged(
+        clustered.groupBy("cluster").agg(F.min("low").alias("keep"), F.max("high").alias("high"))
+        .where("keep <> high").select("cluster", "keep"),
+        "kept",
     )
+    sets = staged(
+        clustered.select("cls", "cluster").join(kept.hint("merge"), "cluster"), "repeated"
+    )
+    return found.join(sets.hint("merge"), "cls").select(
+        *_ranges(F.col("word"), F.col("words"), F.col("cluster"), place, F.col("keep"))
+    )
+
+
+def repeated_passages(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """One row per passage that occurs more than once, in every place it occurs: ``key``,
+    ``start``, ``end`` (bytes of the UTF-8 text, end excluded), ``n_words``, ``removed``,
+    ``cluster_id``, ``keep_id`` (the document whose copy of the passage's beginning stays),
+    ``_id``, ``_text``.
+
+    Two things are repeated: ``MIN_RUN`` words in a row that occur elsewhere (words as in
+    :func:`shingles.word_hashes`, lines do not matter), and lines whose sets of ``WORDS``-word
+    shingles have a Jaccard similarity of at least ``PERCENT`` / 100 with another's, directly or
+    through others. Lines of fewer words are glued to such lines beside them and, if still too
+    short, are alike only if equal. A passage is what repeated words and lines cover without a gap,
+    ``MIN_RUN`` words or more. Of each run or cluster of lines the copy in the document with the
+    smallest key (null last), in its first place, stays; where what stays overlaps what another
+    document or place has already, the words they share are in a removed passage as well. Null and
+    blank texts have no passages; rows that repeat key and text count as one document. Other columns
+    are ignored; an empty table gives no rows.
+
+    Runs are found by :class:`Windows`: anchors that occur again are counted, then segments, then,
+    where segments of an anchor differ, the windows of each distinct one. Lines are joined by
+    :func:`ngram_join.linked_sets`. Neither pairs members of a group with one another by default,
+    and neither misses any.
+    """
+    table = docs.select(*same_row(key), text_of("text").alias("text"))
     ids = docs.schema[key].dataType
     own = F.when(F.col("_id") != "-", F.col("_id")).cast(ids)
-    place = F.struct(own.isNull().alias("last_key"), own.alias("key"), "_id", "_text", "unit")
-    found = staged(candidates.join(clusters.hint("merge"), "para").withColumn("place", place), "found")
-    kept = staged(found.groupBy("cluster").agg(F.min("place").alias("keep")), "kept")
-    marked = found.join(kept.hint("merge"), "cluster").select(
-        "_id", "_text", "unit", "first", "last", "words", "cluster",
-        (F.col("place") != F.col("keep")).alias("removed"), F.col("keep._id").alias("keep"),
-    ).dropDuplicates(["_id", "_text", "unit"])
-    spans = (
-        marked.groupBy("_id", "_text")
-        .agg(F.array_sort(F.collect_list(
-            F.struct("unit", "first", "last", "words", "removed", "cluster", "keep"))).alias("units"))
-        .mapInArrow(_merge, SPANS)
-    )
+    place = F.struct(own.isNull().alias("last_key"), own.alias("key"), "_id", "_text",
+                     F.col("word").cast("int").alias("word"))
+    ranges = _equal_runs(table, place).unionByName(_like_lines(table, place))
+    ranges = staged(
+        ranges.groupBy("_id", "_text").agg(
+            F.array_sort(F.collect_list(F.struct("a", "b", "removed", "cluster", "keep"))).alias("ranges")
+        ),
+        "ranges",
+    )
+    # rows that repeat carry the same text
+    texts = table.dropDuplicates(["_id", "_text"])
+    spans = texts.join(ranges.hint("merge"), ["_id", "_text"]).mapInArrow(_merge, SPANS)
     return spans.select(
         own.alias(key), F.col("first").alias("start"), F.col("last").alias("end"),
         F.col("words").alias("n_words"), "removed", "cluster_id",

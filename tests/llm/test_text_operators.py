@@ -266,3 +266,70 @@ def test_pieces_of_odd_rows(spark):
     rows = CORPUS + list(enumerate(ODD, 1000))
     got = pieces.encode_and_decode(table(spark, rows), public_tokenizers.path("piece_bpe_32k.model"))
     assert got.where(F.col("same")).count() == got.count() == len(rows)
+
+
+def _removed_words(spans, texts):
+    return {i: sum(len(texts[i].encode()[r.start : r.end].split()) for r in spans
+                   if r.doc_id == i and r.removed) for i in texts}
+
+
+def test_passages_in_short_lines_are_found(spark):
+    words = noise(60, 3, 10**6).split()
+    laid = "\n".join(" ".join(words[i : i + 4]) for i in range(0, 60, 4))
+    texts = {i: f"{noise(30, 50 + i, 10**6)}\n{laid}\n{noise(30, 90 + i, 10**6)}" for i in range(3)}
+    found = substrings.repeated_passages(table(spark, list(texts.items()))).collect()
+    assert _removed_words(found, texts) == {0: 0, 1: 60, 2: 60}
+
+
+def test_lines_alike_are_found_whole(spark):
+    texts = {}
+    for i in range(20):  # one changed word in 50: similarity 0.84
+        words = noise(50, i, 10**6).split()
+        texts[i] = " ".join(words)
+        texts[100 + i] = " ".join([*words[:25], "changed", *words[26:]])
+    found = substrings.repeated_passages(table(spark, list(texts.items()))).collect()
+    got = _removed_words(found, texts)
+    assert all(got[i] == 0 and got[100 + i] == 50 for i in range(20))
+
+
+def test_lines_alike_meet_beside_a_frequent_phrase(spark):
+    phrase, texts = noise(5, 1, 10**6), {}
+    for i in range(50):
+        texts[i] = f"{phrase} {noise(17, 100 + i, 10**6)}"
+    for i in range(20):
+        rest = noise(30, 1000 + i, 10**6).split()
+        texts[500 + i] = " ".join([phrase, *rest])
+        texts[600 + i] = " ".join([phrase, *rest[:-1], "changed"])
+    got = _removed_words(
+        substrings.repeated_passages(table(spark, list(texts.items()))).collect(), texts
+    )
+    assert all(got[600 + i] == 35 for i in range(20)) and not any(got[i] for i in texts if i < 600)
+
+
+def test_equal_runs_are_those_of_brute_force(spark):
+    r = random.Random(8)
+    pool = [noise(45, i, 10**6).split() for i in range(6)]
+    texts = {}
+    for i in range(40):
+        words = noise(5, 1000 + i, 10**6).split()
+        for _ in range(3):
+            part, a = r.choice(pool), r.randrange(20)
+            words += part[a : a + r.randrange(10, 40)] + noise(r.randrange(1, 4), r.random(), 10**6).split()
+        texts[i] = " ".join(words)
+    texts |= {100: "a b c d " * 30, 101: "la " * 24, 102: None}
+    found = substrings.repeated_passages(table(spark, list(texts.items()))).collect()
+    places = defaultdict(list)
+    for i, t in texts.items():
+        words = (t or "").split()
+        for a in range(len(words) - 19):
+            places[tuple(words[a : a + 20])].append((i, a))
+    want = defaultdict(set)
+    for at in places.values():
+        for i, a in at[1:]:
+            want[i] |= set(range(a, a + 20))
+    got = defaultdict(set)
+    for s in found:
+        if s.removed:
+            before = len(texts[s.doc_id].encode()[: s.start].split())
+            got[s.doc_id] |= set(range(before, before + s.n_words))
+    assert got == want
