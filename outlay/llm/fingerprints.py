@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from outlay.llm.common import arrow_rows, staged, text_of
 
-SIGNATURE = 64  # chunks of a signature at most; the last one holds all that follows
+SIGNATURE = 64  # chunks of a signature at most
 WINDOW = 8  # bytes the rolling hash sees
 COMMON = 4  # signatures without a common run of so many chunks are unlike by chance
 ROWS_AT_ONCE = 128
@@ -50,7 +50,7 @@ def rolling(data: np.ndarray) -> np.ndarray:
 
 def _signature(cuts: np.ndarray, sums: np.ndarray, n: int) -> str:
     """One letter a chunk. ``sums[i]`` is the running sum that a chunk's hash is a difference of."""
-    ends = cuts[: SIGNATURE - 1] + 1
+    ends = cuts + 1
     if not len(ends) or ends[-1] < n:
         ends = np.append(ends, n)
     starts = np.concatenate(([0], ends[:-1]))
@@ -77,15 +77,19 @@ def _powers(base: int, n: int) -> np.ndarray:
 def parts(text: str) -> tuple[int, str, str]:
     """Block size, signature at the block size, signature at twice the block size.
 
-    The block size is the smallest power of two that cuts the text into ``SIGNATURE`` chunks or
-    fewer on average, so texts of which one is at most twice as long share one of their sizes.
+    The block size is the smallest power of two at which the cuts found in the text make
+    ``SIGNATURE`` chunks or fewer, so every part of the text has its letter.
     """
     data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
     n = len(data)
     if not n:
         return 1, "", ""
-    level = max(0, (n - 1).bit_length() - (SIGNATURE - 1).bit_length())
     h = rolling(data)
+    # cuts by the largest block size that still has them, then their number by block size
+    cut = np.bitwise_count(~h & (h - np.uint32(1)))
+    found = np.cumsum(np.bincount(cut, minlength=33)[::-1])[::-1]
+    chunks = found + (cut[-1] < np.arange(33))  # and what follows the last cut
+    level = int(np.flatnonzero(chunks[:31] <= SIGNATURE)[0]) if (chunks[:31] <= SIGNATURE).any() else 30
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_CHUNK[data] * _powers(_BASE, n)[:n], out=sums[1:])
     one = np.flatnonzero((h & np.uint32((1 << level) - 1)) == 0)

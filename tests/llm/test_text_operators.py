@@ -333,3 +333,18 @@ def test_equal_runs_are_those_of_brute_force(spark):
             before = len(texts[s.doc_id].encode()[: s.start].split())
             got[s.doc_id] |= set(range(before, before + s.n_words))
     assert got == want
+
+
+def test_every_part_of_a_text_has_its_letter():
+    r = random.Random(4)
+    for i in range(30):  # repeated lines first, whose cuts recur
+        line = noise(12, i, 10**6) + "\n"
+        text = line * 150 + noise(600, 100 + i, 10**6)
+        other = text[: -len(text) // 4] + noise(500, 200 + i, 10**6)
+        size, one, two = fingerprints.parts(text)
+        assert max(len(one), len(two)) <= fingerprints.SIGNATURE
+        h = fingerprints.rolling(np.frombuffer(text.encode(), np.uint8))
+        cuts = np.flatnonzero(h % np.uint32(size) == 0)
+        assert len(one) == len(cuts) + (not len(cuts) or cuts[-1] < len(h) - 1)
+        assert size == 1 or (h % np.uint32(size // 2) == 0).sum() >= fingerprints.SIGNATURE
+        assert fingerprints.fingerprint(other) != fingerprints.fingerprint(text)
