@@ -79,11 +79,13 @@ def record(fields: dict[str, object], block: bytes) -> bytes:
 
 
 def page_records(
-    name: str, page: object, url: str | None, payload: bytes, first: object, segment: int
+    name: str, page: object, url: str | None, payload: bytes, first: object, segment: int,
+    row: int = 0, first_row: int = 0,
 ) -> list[bytes]:
-    """The records of one page. ``first`` is the page that has the same payload already, if any."""
+    """The records of one page. ``first`` is the page that has the same payload already, if any.
+    ``row`` and ``first_row`` tell apart rows that repeat an id."""
     clean = "".join((url or "").split()) or None  # a header field holds no line breaks
-    own = record_id(f"{name}:{page}")
+    own = record_id(f"{name}:{page}:row {row}")
     common = {
         "WARC-Date": DATE,
         "WARC-Target-URI": clean,
@@ -97,7 +99,7 @@ def page_records(
             "WARC-Record-ID": own,
             **common,
             "WARC-Profile": SAME_PAYLOAD,
-            "WARC-Refers-To": record_id(f"{name}:{first}"),
+            "WARC-Refers-To": record_id(f"{name}:{first}:row {first_row}"),
         }
         return [record(revisit, HTTP_HEAD)]
     block = HTTP_HEAD + chunked(payload)
@@ -109,7 +111,7 @@ def page_records(
     for n, piece in enumerate(pieces[1:], 2):
         fields = {
             "WARC-Type": "continuation",
-            "WARC-Record-ID": record_id(f"{name}:{page}:{n}"),
+            "WARC-Record-ID": record_id(f"{name}:{page}:row {row}:{n}"),
             "WARC-Date": DATE,
             "WARC-Target-URI": clean,
             "WARC-Segment-Origin-ID": own,
@@ -152,13 +154,15 @@ def write_pages(
     table = pages.select("page_id", F.col("url").cast("string").alias("url"),
                          text_of("html").alias("html"))
     table = table.withColumn("sha", F.sha1("html"))
+    # numbers that stay as they are, for rows that share an id or have none
+    table = staged(table.withColumn("row", F.monotonically_increasing_id()), "pages")
     size = F.octet_length("html")
     firsts = staged(
         table.where((size >= min_revisit) & F.col("page_id").isNotNull())
         .groupBy("sha")
-        .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
+        .agg(F.min(F.struct("page_id", "row")).alias("first"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
-        .select("sha", "first"),
+        .select("sha", F.col("first.page_id").alias("first"), F.col("first.row").alias("first_row")),
         "firsts",
     )
     again = staged(
@@ -176,14 +180,15 @@ def write_pages(
             out = []
             for row in batch.to_pylist():
                 out += page_records(
-                    name, row["page_id"], row["url"], row["html"].encode(), row["first"], segment
+                    name, row["page_id"], row["url"], row["html"].encode(), row["first"], segment,
+                    row["row"], row["first_row"],
                 )
             # the writer adds the last byte of a record itself
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[: -len(binary_files.END)] for x in out], pa.binary())], ["record"]
             )
 
-    packed = known.select("page_id", "url", "html", "first").mapInArrow(pack, "record binary")
+    packed = known.select("page_id", "url", "html", "first", "row", "first_row").mapInArrow(pack, "record binary")
     binary_files.write(packed, "record", path, RECORDS_PER_FILE, "gzip")
 
 

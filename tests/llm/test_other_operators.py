@@ -202,3 +202,14 @@ def test_queries_agree_with_their_sql(spark, name):
     want = db.sql(f"select {', '.join(columns)} from ({queries.oracle_sql()[name]})").fetchall()
     key = lambda r: tuple(map(str, r))
     assert sorted(map(tuple, found.select(columns).collect()), key=key) == sorted(want, key=key)
+
+
+def test_long_pages_that_repeat_an_id_or_have_none(spark):
+    long = "<p>ä€</p>" * 400
+    rows = [(7, "u", long, "", "")] * 3 + [(None, "u", long, "", "")] * 2
+    rows += [(8, "u", long, "", ""), (None, "v", long + "x", "", "")]
+    got = warc.through_archives(spark.createDataFrame(rows, PAGES), segment=300).collect()
+    have = sorted((str(r.page_id), r.payload_bytes, r.record_type, r.refers_to) for r in got)
+    n = len(long.encode())
+    assert have == [("7", n, "response", None)] * 3 + [("8", n, "revisit", 7)] + [
+        ("None", n, "response", None)] * 2 + [("None", n + 1, "response", None)]
