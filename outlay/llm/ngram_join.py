@@ -191,11 +191,13 @@ def linked_sets(table: DataFrame, k: int, percent: int) -> tuple[DataFrame, Data
             return table.join(measured(keys, SMALL_BYTES), ["_id", "_text"], "left_semi")
 
         frequent = _frequent(_all_shingles(of(_holding(classes, first)), k))
-        redone = _prefixes(of(_holding(classes, frequent)), k, percent, frequent)
-        redone = staged(redone.dropDuplicates(["cls"]), "redone")
-        classes = classes.join(redone.select("cls").hint("merge"), "cls", "left_anti").unionByName(
-            redone.select(*classes.columns)
-        )
+        # More than every task can be told are as good as none: any order loses no link.
+        if len(frequent[0]):
+            redone = _prefixes(of(_holding(classes, frequent)), k, percent, frequent)
+            redone = staged(redone.dropDuplicates(["cls"]), "redone")
+            classes = classes.join(
+                redone.select("cls").hint("merge"), "cls", "left_anti"
+            ).unionByName(redone.select(*classes.columns))
     grouped = staged(
         classes.select("cls", "_id", "_text", "n", F.xxhash64("n", "prefix").alias("g"), "prefix"),
         "grouped",

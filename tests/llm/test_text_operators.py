@@ -348,3 +348,16 @@ def test_every_part_of_a_text_has_its_letter():
         assert len(one) == len(cuts) + (not len(cuts) or cuts[-1] < len(h) - 1)
         assert size == 1 or (h % np.uint32(size // 2) == 0).sum() >= fingerprints.SIGNATURE
         assert fingerprints.fingerprint(other) != fingerprints.fingerprint(text)
+
+
+def test_more_frequent_shingles_than_fit_cost_no_link(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "MOST_FREQUENT", 20)
+    passage = noise(40, 10, 10**6)
+    rows = [(i, f"{passage} {noise(30, 100 + i, 10**6)}") for i in range(40)]
+    rows += [(100 + i, f"{t} more") for i, t in rows[:5]]
+    first = []
+    real = ngram_join._frequent
+    monkeypatch.setattr(ngram_join, "_frequent", lambda x: first.append(real(x)) or first[-1])
+    got = ngram_join.similar_groups(table(spark, rows)).collect()
+    assert len(first[0][0]) and not len(first[1][0])
+    assert {r.doc_id: r.component_id for r in got} == {i: i % 100 for i, _ in rows}
