@@ -165,7 +165,8 @@ def _share(rows: int, most: int) -> Column:
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> Classifier:
     """A classifier from the labels (``key``, ``toxic``) of the rows that are not held out.
 
-    Confirmed toxic documents and texts without a label, at most about ``MAX_POSITIVE`` and
+    Confirmed toxic documents and texts without a label (where those are too few, labelled ones as
+    well, without regard to their labels), at most about ``MAX_POSITIVE`` and
     ``MAX_UNLABELLED`` of them chosen by hashes of their ids, are all it is fitted on; the class
     prior is the share of toxic ones among all labels. About ``MAX_CALIBRATION`` labelled documents
     then set its scale. Features of the chosen documents come to the driver, which is what these
@@ -193,9 +194,12 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> Classifier
         ((F.col("_toxic") == 1) & _share(toxic, MAX_POSITIVE)) | _share(n, MAX_CALIBRATION)
     ).select("_id", "_toxic", F.when(F.col("_toxic") == 1, _share(toxic, MAX_POSITIVE))
              .otherwise(False).alias("_fit"))
-    free = texts.where(_share(docs.count(), MAX_UNLABELLED)).join(
-        known.select("_id").hint("merge"), "_id", "left_anti"
-    )
+    ids = known.select("_id").hint("merge")
+    free, rest = texts.join(ids, "_id", "left_anti"), texts.join(ids, "_id", "left_semi")
+    n_free = free.count()
+    free = free.where(_share(n_free, MAX_UNLABELLED))
+    if n_free < MAX_UNLABELLED:  # labelled texts, their labels unread, make up for the others
+        free = free.unionByName(rest.where(_share(rest.count(), MAX_UNLABELLED - n_free)))
     labelled = staged(
         texts.join(measured(chosen, SMALL_BYTES), "_id").select("_toxic", "_fit", "_text"),
         "labelled",

@@ -213,3 +213,11 @@ def test_long_pages_that_repeat_an_id_or_have_none(spark):
     n = len(long.encode())
     assert have == [("7", n, "response", None)] * 3 + [("8", n, "revisit", 7)] + [
         ("None", n, "response", None)] * 2 + [("None", n + 1, "response", None)]
+
+
+def test_toxicity_where_all_documents_are_labelled(spark):
+    docs, _, _ = _toxic(spark)
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(600)], "doc_id bigint, toxic int")
+    got = [r for r in toxicity.score(docs, labels).collect() if r.held_out and r.doc_id is not None]
+    got = [r for r in got if r.doc_id < 600]
+    assert sum(r.predicted == (r.doc_id % 5 == 0) for r in got) / len(got) > 0.95
