@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from outlay.llm.common import SMALL_BYTES, arrow_rows, measured, same_row, staged, text_of
 from outlay.llm.ngram_join import linked_sets, set_id
 from outlay.llm.shingles import mix, rolled, shingle_sets, word_hashes
+from outlay.sources.scratch import new_table_path, scope
 
 WORDS = 5  # of a shingle
 PERCENT = 80  # Jaccard similarity of paragraphs that count as one
@@ -258,6 +259,16 @@ def _like_lines(table: DataFrame, place: Column) -> DataFrame:
     )
 
 
+def _alone(ranges: Callable[[DataFrame, Column], DataFrame], table: DataFrame, place: Column) -> DataFrame:
+    """What ``ranges`` finds, written, and the tables it made on the way removed."""
+    spark = table.sparkSession
+    path = new_table_path(spark, "found")
+    with scope(spark):
+        found = ranges(table, place)
+        found.write.parquet(path)
+    return spark.read.schema(found.schema).parquet(path)
+
+
 def repeated_passages(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """One row per passage that occurs more than once, in every place it occurs: ``key``,
     ``start``, ``end`` (bytes of the UTF-8 text, end excluded), ``n_words``, ``removed``,
@@ -285,16 +296,17 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     own = F.when(F.col("_id") != "-", F.col("_id")).cast(ids)
     place = F.struct(own.isNull().alias("last_key"), own.alias("key"), "_id", "_text",
                      F.col("word").cast("int").alias("word"))
-    ranges = _equal_runs(table, place).unionByName(_like_lines(table, place))
+    ranges = _alone(_equal_runs, table, place).unionByName(_alone(_like_lines, table, place))
     ranges = staged(
         ranges.groupBy("_id", "_text").agg(
             F.array_sort(F.collect_list(F.struct("a", "b", "removed", "cluster", "keep"))).alias("ranges")
         ),
         "ranges",
     )
-    # rows that repeat carry the same text
-    texts = table.dropDuplicates(["_id", "_text"])
-    spans = texts.join(ranges.hint("merge"), ["_id", "_text"]).mapInArrow(_merge, SPANS)
+    # rows that repeat carry the same text and give the same spans
+    spans = (
+        table.join(ranges.hint("merge"), ["_id", "_text"]).mapInArrow(_merge, SPANS).dropDuplicates()
+    )
     return spans.select(
         own.alias(key), F.col("first").alias("start"), F.col("last").alias("end"),
         F.col("words").alias("n_words"), "removed", "cluster_id",
