@@ -12,8 +12,10 @@ from outlay.llm import (
     fingerprints,
     ngram_join,
     packing,
+    periodic_runs,
     pieces,
     simple8b,
+    spelling,
     substrings,
     toxicity,
     transcripts,
@@ -85,10 +87,22 @@ def op10_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transcripts.canonical(_table(spark, sf_dir, "conversations"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that repeat with a period in all documents, some of which are made to."""
+    docs = _table(spark, sf_dir, "documents")
+    return periodic_runs.run_digests(periodic_runs.word_runs(docs, edit=periodic_runs.repeat_some))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, some of which are misspelt, with their more frequent forms."""
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"), change=spelling.misspell_some)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_fingerprints, op2_substring_dedup, op3_warc_segments, op4_simple8b, op5_packing, op6_toxicity,
         op7_exact_dedup, op8_sentencepiece, op9_ngram_join, op10_transcripts,
+        op12_periodic_runs, op13_spelling_variants,
     )}
 
 
