@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 from itertools import chain
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outlay.llm.common import arrow_rows, measured, staged, text_of
@@ -24,6 +24,8 @@ FREQUENT = 64  # words a gram is in, beyond which it is made longer
 # Frequent grams known to every task, at most. The bound decides how long grams get, never a pair.
 MOST_GRAMS = 200_000
 ROWS_AT_ONCE = 128
+CROWDED = 32  # entries of a list, beyond which its words must share more than the gram
+SAME, BEHIND, BEFORE = 0, 1, 2  # where a longer word of a pair has its added letter
 WORDS_AT_ONCE = 200_000  # words or grams counted in a task before they are handed on
 
 Grams = list[tuple[int, str]]  # place and gram, by place
@@ -44,20 +46,19 @@ def decompose(word: str, frequent: dict[str, int], qmax: int) -> Grams:
     return out
 
 
-def most_affected(word: str, grams: Grams, frequent: dict[str, int], qmax: int) -> int:
-    """How many of its grams a word can lose by one edit.
+def most_affected(grams: Grams, qmax: int) -> int:
+    """How many of its grams a word can lose by one edit: as many as end within ``qmax`` places.
 
-    These are the grams that hold the place of the edit, those behind it that a gram reaching over
-    that place may then contain, and, where a letter is added at the end, those that the end cut.
+    A gram that ends at e can be changed by an edit in it, or, if it lies behind the edit, by a gram
+    that reaches from before the edit to e and so contains it. Either way the place of the edit is
+    one of the ``qmax`` before e. Letters added at the end change the one gram that the end cut.
     """
-    n, most = len(word), 0
-    spans = [(at, at + len(g)) for at, g in grams]
-    for i in range(n + 1):
-        changed = sum(a <= i < b or (a > i and b - i <= qmax) for a, b in spans) if i < n else 0
-        added = sum(a < i < b or (a >= i and b + 1 - i <= qmax) for a, b in spans)
-        if i == n:
-            added += sum(b == n and b - a < qmax and word[a:b] in frequent for a, b in spans)
-        most = max(most, changed, added)
+    ends = [at + len(gram) for at, gram in grams]
+    first, most = 0, 0
+    for i, end in enumerate(ends):
+        while ends[first] <= end - qmax:
+            first += 1
+        most = max(most, i - first + 1)
     return most
 
 
@@ -72,7 +73,7 @@ def index_entries(word: str, frequent: dict[str, int]) -> Iterator[tuple[int, st
     """
     for tier, qmax in enumerate(range(QMAX, QMIN - 1, -1)):
         grams = decompose(word, frequent, qmax)
-        bound = most_affected(word, grams, frequent, qmax)
+        bound = most_affected(grams, qmax)
         void = bound >= len(grams)
         if not void:
             grams = sorted(grams, key=lambda g: (frequent.get(g[1], 0), g[1], g[0]))[: bound + 1]
@@ -153,6 +154,30 @@ def frequent_grams(words: DataFrame) -> dict[str, int]:
     return dict(zip(found.column("gram").to_pylist(), found.column("n").to_pylist(), strict=True))
 
 
+def _sides(word: str, case: Column) -> Column:
+    """What a word of a crowded list must share with another besides the gram, one of up to four.
+
+    The edit is behind the gram or before it. The other side is the same, and, of the side with the
+    edit, cut in halves by the shorter word's length, so is the first half or the last one. ``case``
+    tells the longer word of a pair (an added letter before or behind the gram) from the shorter.
+    """
+    text, at, length = F.col(word), F.col("at"), F.col("length")
+    own = at + (case == BEFORE).cast("int")  # where the gram is in this word
+    end = own + F.char_length("gram")
+    whole = F.char_length(text)
+    behind = length - at - F.char_length("gram")
+    part = lambda start, size: F.substring(text, start + 1, size)
+    half, front = F.floor(behind / 2).cast("int"), F.floor(at / 2).cast("int")
+    tag = lambda kind, value: F.concat(F.lit(kind), value)
+    return F.array_compact(F.array(
+        F.when((case != BEFORE) & (behind >= 0), tag("a", part(F.lit(0), end + half))),
+        F.when((case != BEFORE) & (behind > 0),
+               tag("b", F.concat(part(F.lit(0), end), part(whole - (behind - half), behind - half)))),
+        F.when(case != BEHIND, tag("c", F.concat(part(F.lit(0), front), part(own, whole - own)))),
+        F.when((case != BEHIND) & (at > 0), tag("d", part(own - (at - front), whole - own + at - front))),
+    ))
+
+
 def near_words(words: DataFrame) -> DataFrame:
     """Pairs of ``words`` (``word``, ``n``) one inserted, deleted or replaced code point apart, each
     pair in both directions: ``word``, ``n``, ``near``, ``near_n``."""
@@ -177,27 +202,42 @@ def near_words(words: DataFrame) -> DataFrame:
 
     index = staged(words.select("word", "n").mapInArrow(entries, schema), "entries")
     shared.destroy()
+    key = ["tier", "gram", "at", "length"]
+    crowded = staged(
+        index.groupBy(*key).count().where(F.col("count") > CROWDED).select(*key, F.lit(True).alias("crowded")),
+        "crowded",
+    )
     # A replaced letter leaves places as they are, an added one moves those behind it by one. So the
-    # word of a pair that is shorter, or first if both are as long, is met under one key each.
-    place = F.struct("at", "length")
-    longer = index.select(
+    # word of a pair that is shorter, or first if both are as long, is met under one list each.
+    other = index.select(
         F.col("word").alias("other"), F.col("n").alias("other_n"), F.col("void").alias("other_void"),
         "tier", "gram",
         F.explode(F.array(
-            place,
-            F.struct("at", (F.col("length") - 1).alias("length")),
-            F.struct((F.col("at") - 1).alias("at"), (F.col("length") - 1).alias("length")),
+            F.struct(F.lit(SAME).alias("case"), "at", "length"),
+            F.struct(F.lit(BEHIND).alias("case"), "at", (F.col("length") - 1).alias("length")),
+            F.struct(F.lit(BEFORE).alias("case"), (F.col("at") - 1).alias("at"), (F.col("length") - 1).alias("length")),
         )).alias("place"),
-    ).select("other", "other_n", "other_void", "tier", "gram", "place.at", "place.length")
-    met = index.join(longer.hint("merge"), ["tier", "gram", "at", "length"])
-    once = (F.char_length("other") > F.col("length")) | (F.col("word") < F.col("other"))
-    found = staged(
-        met.where(once & ~(F.col("void") & F.col("other_void")))
-        .where(F.levenshtein("word", "other", 1) == 1)
-        .select("word", "n", F.col("other").alias("near"), F.col("other_n").alias("near_n"))
-        .distinct(),
-        "near",
-    )
+    ).select("other", "other_n", "other_void", "tier", "gram", "place.case", "place.at", "place.length")
+
+    def met(one: DataFrame, two: DataFrame, on: list[str]) -> DataFrame:
+        once = (F.char_length("other") > F.col("length")) | (F.col("word") < F.col("other"))
+        return (
+            one.join(two.drop(*[k for k in key if k not in on]).hint("merge"), on)
+            .where(once & ~(F.col("void") & F.col("other_void")))
+            .where(F.levenshtein("word", "other", 1) == 1)
+            .select("word", "n", F.col("other").alias("near"), F.col("other_n").alias("near_n"))
+        )
+
+    lists = measured(crowded)
+    one = index.join(lists, key, "left")
+    two = other.join(lists, key, "left")
+    few = met(one.where("crowded is null"), two.where("crowded is null"), key)
+    refined = [
+        x.where("crowded").withColumn("side", F.explode(_sides(word, case)))
+        for x, word, case in ((one, "word", F.lit(SAME)), (two, "other", F.col("case")))
+    ]
+    many = met(*refined, [*key, "side"])
+    found = staged(few.unionByName(many).distinct(), "near")
     back = found.select(F.col("near").alias("word"), F.col("near_n").alias("n"),
                         F.col("word").alias("near"), F.col("n").alias("near_n"))
     return found.unionByName(back)
@@ -236,7 +276,8 @@ def spelling_variants(
     The texts are counted in their tasks, and only distinct words are shuffled. Near words are found
     by an index of grams of variable length (:func:`near_words`): grams in many words are made
     longer, each word is entered under so few of its rarest grams that a near word must share one at
-    the same place or one beside it, and what meets there is verified. No list is cut off.
+    the same place or one beside it, and what meets there is verified. No list is cut off; words of
+    a crowded one meet under longer keys (:func:`_sides`).
     """
     counted = word_counts(docs, key, text, change)
     words = staged(counted.where(F.col("n") >= MIN_COUNT), "words")
