@@ -17,6 +17,7 @@ from outlay.llm import (
     simple8b,
     spelling,
     substrings,
+    suffix_family,
     toxicity,
     transcripts,
     warc,
@@ -87,6 +88,12 @@ def op10_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transcripts.canonical(_table(spark, sf_dir, "conversations"))
 
 
+def op11_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes that an earlier one has."""
+    found = suffix_family.without_repeated_bytes(_table(spark, sf_dir, "documents"))
+    return suffix_family.removal_digests(found)
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that repeat with a period in all documents, some of which are made to."""
     docs = _table(spark, sf_dir, "documents")
@@ -102,7 +109,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_fingerprints, op2_substring_dedup, op3_warc_segments, op4_simple8b, op5_packing, op6_toxicity,
         op7_exact_dedup, op8_sentencepiece, op9_ngram_join, op10_transcripts,
-        op12_periodic_runs, op13_spelling_variants,
+        op11_suffix_family, op12_periodic_runs, op13_spelling_variants,
     )}
 
 
@@ -133,6 +140,37 @@ select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
 from h window w as (partition by text_sha256)
 """
 
+# Hex digits, two a byte: windows of 50 bytes, those an earlier document has, and runs of them.
+_OP11_SQL = """
+with d as (
+  select doc_id, hex(encode(coalesce(text, ''))) as h, octet_length(encode(coalesce(text, ''))) as n
+  from documents
+), w as (
+  select doc_id, i, substr(h, 2 * i + 1, 100) as s
+  from (select doc_id, h, unnest(range(0, n - 49)) as i from d)
+), f as (select doc_id, i from (select *, min(doc_id) over (partition by s) as first_id from w)
+         where first_id < doc_id),
+b as (select *, case when i <= lag(i) over (partition by doc_id order by i) + 50 then 0 else 1 end as new
+      from f),
+g as (select *, sum(new) over (partition by doc_id order by i) as k from b),
+r as (select doc_id, k, min(i) as a, max(i) + 50 as z from g group by doc_id, k),
+p as (select *, coalesce(lag(z) over (partition by doc_id order by a), 0) as before,
+             row_number() over (partition by doc_id order by a desc) as back from r),
+t as (
+  select doc_id, sum(z - a) as n_removed, count(*) as n_spans,
+         string_agg(substr(h, 2 * before + 1, 2 * (a - before))
+                    || case when back = 1 then substr(h, 2 * z + 1) else '' end, '' order by a) as kept
+  from p join d using (doc_id) group by doc_id
+)
+select doc_id, n as n_bytes, coalesce(n_removed, 0)::bigint as n_removed,
+       coalesce(n_spans, 0)::bigint as n_spans, sha256(unhex(coalesce(kept, h))) as kept_sha256
+from d left join t using (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc_segments": _OP3_SQL, "op7_exact_dedup": _OP7_SQL}
+    return {
+        "op3_warc_segments": _OP3_SQL,
+        "op7_exact_dedup": _OP7_SQL,
+        "op11_suffix_family": _OP11_SQL,
+    }

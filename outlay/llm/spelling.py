@@ -154,14 +154,15 @@ def frequent_grams(words: DataFrame) -> dict[str, int]:
     return dict(zip(found.column("gram").to_pylist(), found.column("n").to_pylist(), strict=True))
 
 
-def _sides(word: str, case: Column) -> Column:
+def _sides() -> Column:
     """What a word of a crowded list must share with another besides the gram, one of up to four.
 
     The edit is behind the gram or before it. The other side is the same, and, of the side with the
     edit, cut in halves by the shorter word's length, so is the first half or the last one. ``case``
-    tells the longer word of a pair (an added letter before or behind the gram) from the shorter.
+    tells the longer word of a pair (an added letter before or behind the gram) from the shorter,
+    whose place and length ``at`` and ``length`` are.
     """
-    text, at, length = F.col(word), F.col("at"), F.col("length")
+    text, at, length, case = F.col("word"), F.col("at"), F.col("length"), F.col("case")
     own = at + (case == BEFORE).cast("int")  # where the gram is in this word
     end = own + F.char_length("gram")
     whole = F.char_length(text)
@@ -202,42 +203,51 @@ def near_words(words: DataFrame) -> DataFrame:
 
     index = staged(words.select("word", "n").mapInArrow(entries, schema), "entries")
     shared.destroy()
-    key = ["tier", "gram", "at", "length"]
+    # A list has the words with a gram at a place, by length. A replaced letter leaves places as they
+    # are, an added one moves those behind it by one. So the word of a pair that is shorter, or first
+    # if both are as long, is met in one list each.
+    number = F.xxhash64("tier", "gram", "at", "length").alias("list")
     crowded = staged(
-        index.groupBy(*key).count().where(F.col("count") > CROWDED).select(*key, F.lit(True).alias("crowded")),
+        index.groupBy(number).count().where(F.col("count") > CROWDED).select("list", F.lit(True).alias("crowded")),
         "crowded",
     )
-    # A replaced letter leaves places as they are, an added one moves those behind it by one. So the
-    # word of a pair that is shorter, or first if both are as long, is met under one list each.
-    other = index.select(
-        F.col("word").alias("other"), F.col("n").alias("other_n"), F.col("void").alias("other_void"),
-        "tier", "gram",
-        F.explode(F.array(
-            F.struct(F.lit(SAME).alias("case"), "at", "length"),
-            F.struct(F.lit(BEHIND).alias("case"), "at", (F.col("length") - 1).alias("length")),
-            F.struct(F.lit(BEFORE).alias("case"), (F.col("at") - 1).alias("at"), (F.col("length") - 1).alias("length")),
-        )).alias("place"),
-    ).select("other", "other_n", "other_void", "tier", "gram", "place.case", "place.at", "place.length")
-
-    def met(one: DataFrame, two: DataFrame, on: list[str]) -> DataFrame:
-        once = (F.char_length("other") > F.col("length")) | (F.col("word") < F.col("other"))
-        return (
-            one.join(two.drop(*[k for k in key if k not in on]).hint("merge"), on)
-            .where(once & ~(F.col("void") & F.col("other_void")))
-            .where(F.levenshtein("word", "other", 1) == 1)
-            .select("word", "n", F.col("other").alias("near"), F.col("other_n").alias("near_n"))
-        )
-
+    places = F.array(
+        F.struct(F.lit(SAME).alias("case"), "at", "length"),
+        F.struct(F.lit(BEHIND).alias("case"), "at", (F.col("length") - 1).alias("length")),
+        F.struct(F.lit(BEFORE).alias("case"), (F.col("at") - 1).alias("at"), (F.col("length") - 1).alias("length")),
+    )
+    shifted = index.select("word", "n", "void", "tier", "gram", F.explode(places).alias("place")).select(
+        "word", "n", "void", "tier", "gram", "place.case", "place.at", "place.length"
+    )
     lists = measured(crowded)
-    one = index.join(lists, key, "left")
-    two = other.join(lists, key, "left")
-    few = met(one.where("crowded is null"), two.where("crowded is null"), key)
-    refined = [
-        x.where("crowded").withColumn("side", F.explode(_sides(word, case)))
-        for x, word, case in ((one, "word", F.lit(SAME)), (two, "other", F.col("case")))
-    ]
-    many = met(*refined, [*key, "side"])
-    found = staged(few.unionByName(many).distinct(), "near")
+    half = F.floor(F.col("length") / 2).cast("int")
+
+    def met(rows: DataFrame) -> DataFrame:
+        """Entries by what they meet under, with hashes of the word's halves."""
+        sides = F.transform(_sides(), lambda side: F.xxhash64("list", side))
+        return rows.select("*", number).join(lists, "list", "left").select(
+            F.explode(F.when(F.col("crowded"), sides).otherwise(F.array("list"))).alias("under"),
+            "word", "n", "void", "case",
+            F.hash(F.left("word", half)).alias("first"),
+            F.hash(F.right("word", F.col("length") - half)).alias("last"),
+        )
+
+    one = met(index.withColumn("case", F.lit(SAME))).drop("case")
+    two = met(shifted).select(
+        "under", "case", F.col("word").alias("near"), F.col("n").alias("near_n"),
+        F.col("void").alias("near_void"), F.col("first").alias("near_first"), F.col("last").alias("near_last"),
+    )
+    once = (F.col("case") != SAME) | (F.col("word") < F.col("near"))
+    # One edit leaves the first or the last half of the shorter word as it is.
+    halves = (F.col("first") == F.col("near_first")) | (F.col("last") == F.col("near_last"))
+    found = staged(
+        one.join(two.hint("merge"), "under")
+        .where(halves & once & ~(F.col("void") & F.col("near_void")))
+        .where(F.levenshtein("word", "near", 1) == 1)
+        .select("word", "n", "near", "near_n")
+        .distinct(),
+        "near",
+    )
     back = found.select(F.col("near").alias("word"), F.col("near_n").alias("n"),
                         F.col("word").alias("near"), F.col("n").alias("near_n"))
     return found.unionByName(back)

@@ -6,10 +6,11 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 
-from outlay.llm import periodic_runs, queries, spelling
+from outlay.llm import periodic_runs, queries, spelling, suffix_family
 
 SMALL = "/root/testdata/sf0.001"
 DOCS = "doc_id bigint, text string, word string, n bigint, key string, runs int, start string"
@@ -167,3 +168,70 @@ def test_variants_query(spark):
     rows = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
     got = queries.op13_spelling_variants(spark, SMALL).collect()
     assert by_text(got) == by_text(slow_variants(rows)) and any(x.form for x in got)
+
+
+def cut_rows(rows, length=suffix_family.LENGTH):
+    first = {}
+    rank = lambda k: (k is None, k)
+    for doc_id, text in rows:
+        data = (text or "").encode()
+        for i in range(len(data) - length + 1):
+            s = data[i : i + length]
+            first[s] = min(first.get(s, rank(doc_id)), rank(doc_id))
+    out = []
+    for doc_id, text in rows:
+        data = (text or "").encode()
+        gone = [False] * len(data)
+        for i in range(len(data) - length + 1):
+            if first[data[i : i + length]] < rank(doc_id):
+                gone[i : i + length] = [True] * length
+        spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        kept = bytes(b for b, g in zip(data, gone, strict=True) if not g)
+        out.append((doc_id, len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def repetitive(seed):
+    """Texts made of common passages, with edits; ids out of order, repeated and missing."""
+    r = random.Random(seed)
+    passages = ["".join(r.choice("abcdefgh äé\n\0") for _ in range(r.randrange(20, 300))) for _ in range(12)]
+    rows = []
+    for i in range(80):
+        text = "".join(r.choice(passages) if r.random() < 0.6 else "".join(r.choice("xyz ") for _ in range(30))
+                       for _ in range(r.randrange(6)))
+        if text and r.random() < 0.5:
+            at = r.randrange(len(text))
+            text = text[:at] + "#" + text[at + r.randrange(2) :]
+        rows.append((r.choice([i, i, i, i // 2, None]), text))
+    rows += [(200, None), (201, ""), (202, "ab" * 4000), (203, "ab" * 3000), (203, "ab" * 3000), (204, "x" * 49)]
+    return rows
+
+
+@pytest.mark.parametrize("crowded", [suffix_family.CROWDED, 1])
+@pytest.mark.parametrize(("batches", "block"), [(4, 300), (1, 4 << 20), (7, 2000)])
+def test_bytes_of_earlier_documents(spark, monkeypatch, crowded, batches, block):
+    monkeypatch.setattr(suffix_family, "CROWDED", crowded)
+    monkeypatch.setattr(suffix_family, "BATCHES", batches)
+    monkeypatch.setattr(suffix_family, "BLOCK_BYTES", block)
+    monkeypatch.setattr(suffix_family, "LEAST_BUCKETS", 5)
+    rows = repetitive(batches)
+    found = suffix_family.without_repeated_bytes(frame(spark, rows))
+    assert by_text(suffix_family.removal_digests(found).collect()) == by_text(cut_rows(rows))
+
+
+def test_bytes_of_documents_with_other_keys(spark):
+    rows = [(None if k is None else f"k{k:04}", t) for k, t in repetitive(9)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    found = suffix_family.removal_digests(suffix_family.without_repeated_bytes(docs))
+    assert by_text(found.collect()) == by_text(cut_rows(rows))
+    assert suffix_family.without_repeated_bytes(frame(spark, [])).count() == 0
+    one = suffix_family.without_repeated_bytes(frame(spark, [(None, None)])).collect()
+    assert [(x.doc_id, x.n_bytes, x.spans, bytes(x.kept)) for x in one] == [(None, 0, [], b"")]
+
+
+def test_bytes_query(spark):
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{SMALL}/documents.parquet'")
+    got = queries.op11_suffix_family(spark, SMALL).collect()
+    assert by_text(got) == by_text(con.execute(queries.oracle_sql()["op11_suffix_family"]).fetchall())
+    assert any(x.n_removed for x in got)
