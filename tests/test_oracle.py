@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as driver
+from outlay.plans import catalogue, oracle
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -19,7 +20,9 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(catalogue.queries()) == set(oracle.oracle_sql())
+    assert set(catalogue.queries()) <= set(driver.queries())
+    assert set(oracle.oracle_sql()) <= set(driver.oracle_sql()) <= set(driver.queries())
 
 
 def _values(frame, columns):
@@ -35,10 +38,10 @@ def _values(frame, columns):
     )
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(catalogue.queries()))
 def test_query_matches_its_sql(spark, con, name):
-    ours = driver.queries()[name](spark, SF)
-    theirs = con.execute(driver.oracle_sql()[name])
+    ours = catalogue.queries()[name](spark, SF)
+    theirs = con.execute(oracle.oracle_sql()[name])
     columns = sorted(ours.columns)
     assert columns == sorted(c[0] for c in theirs.description)
     assert _values(ours.toPandas(), columns) == _values(theirs.df(), columns)
