@@ -63,6 +63,41 @@ def is_close(actual: Column, expected: Column, rtol: float = 1e-5, atol: float =
     return F.when(known, near & is_finite(actual) & is_finite(expected))
 
 
+# Places behind the point, in bits, of a double's fraction that are added up exactly.
+_FRACTION_BITS = 60
+
+
+def exact_parts(x: Column) -> tuple[Column, Column]:
+    """A double as two whole numbers: its floor, and its fraction in units of 2^-60.
+
+    Nothing is lost for numbers of at least 2^-8 and less than 2^63 in size, and zero; of smaller
+    ones, what lies below 2^-60 is. Larger ones and those that are not finite raise.
+    """
+    whole = F.floor(x)
+    fraction = F.floor((x - whole) * F.lit(float(1 << _FRACTION_BITS)))
+    return whole.cast("decimal(20,0)"), fraction.cast("decimal(20,0)")
+
+
+def exact_total(whole: Column, fraction: Column) -> Column:
+    """The double nearest to the sum of numbers of which the parts (:func:`exact_parts`) were added.
+
+    Whole numbers have no order of addition. They are put together as one number in units of 2^-60
+    and read as text, which rounds once; where that has more than 38 digits, the fraction only
+    decides ties.
+    """
+    unit = F.lit(1 << _FRACTION_BITS).cast("decimal(38,0)")
+    whole, fraction = whole.cast("decimal(38,0)"), fraction.cast("decimal(38,0)")
+    rest = F.pmod(fraction, unit).cast("decimal(38,0)")
+    carried = ((fraction - rest) / unit).cast("decimal(38,0)")
+    high = (whole + carried).cast("decimal(38,0)")
+    small = F.abs(high) < F.lit(str(1 << 64)).cast("decimal(38,0)")
+    units = (high * unit + rest).cast("decimal(38,0)").cast("string").cast("double")
+    sticky = (high * 10 + (rest > 0).cast("int")).cast("decimal(38,0)").cast("string")
+    return F.when(small, units / F.lit(float(1 << _FRACTION_BITS))).when(
+        high.isNotNull(), F.concat(sticky, F.lit("e-1")).cast("double")
+    )
+
+
 def fixed2(amount: Column) -> Column:
     """Two decimals as text, NULL kept: the double's exact value rounded, ties to even.
 

@@ -29,23 +29,67 @@ def cost_days(costs: DataFrame) -> Column:
     return days.agg(F.array_sort(F.collect_set("day"))).scalar()
 
 
+def _month(day: Column) -> Column:
+    return F.year(day) * 12 + F.month(day)
+
+
+def _before(months: str, month: Column, after: bool = False) -> Column:
+    """How many of the sorted ``months`` lie before ``month`` (with ``after``: not after it).
+
+    Each step halves the range that is left; there are as many steps as bits in their number.
+    """
+
+    def halved(span: Column, _: Column) -> Column:
+        middle = F.floor((span["low"] + span["high"]) / 2).cast("int")
+        here = F.get(months, middle)
+        right = (here <= month) if after else (here < month)
+        return F.when(span["low"] >= span["high"], span).otherwise(
+            F.struct(
+                F.when(right, middle + 1).otherwise(span["low"]).alias("low"),
+                F.when(right, span["high"]).otherwise(middle).alias("high"),
+            )
+        )
+
+    steps = F.sequence(F.lit(1), F.length(F.bin(F.size(months))).cast("int"))
+    whole = F.struct(F.lit(0).alias("low"), F.size(months).alias("high"))
+    return F.aggregate(steps, whole, halved)["low"]
+
+
 def usable_quotes(rates: DataFrame, base: str = BASE_CURRENCY) -> DataFrame:
     """Quotes against the base currency. The base itself needs none: its rate is 1."""
     return rates.filter((F.col("base") == base) & (F.col("currency") != base))
 
 
-def quotes_by_day(rates: DataFrame, days: Column, base: str = BASE_CURRENCY) -> DataFrame:
-    """One row per quote and day of ``days`` it is valid on."""
+def quotes_by_month(rates: DataFrame, months: Column, base: str = BASE_CURRENCY) -> DataFrame:
+    """One row per quote and month of the sorted ``months`` it reaches into."""
+    first = _before("_months", _month(F.col("valid_from")))
+    behind = _before("_months", _month(F.col("valid_to")), after=True)
     return (
         usable_quotes(rates, base)
         .filter(F.col("valid_from") <= F.col("valid_to"))
-        .withColumn("_days", days)
-        .withColumn(
-            "quote_day",
-            F.explode(F.filter("_days", lambda d: d.between(F.col("valid_from"), F.col("valid_to")))),
-        )
-        .drop("_days")
+        .withColumn("_months", months)
+        .withColumn("_month", F.explode(F.slice("_months", first + 1, behind - first)))
+        .drop("_months")
+    )
+
+
+def quotes_by_day(rates: DataFrame, days: Column, base: str = BASE_CURRENCY) -> DataFrame:
+    """One row per quote and day of ``days`` it is valid on.
+
+    An index of months: a quote is unrolled to those of its months that have days, one slice of the
+    sorted months, and meets the days of each; in the first and last one the range decides. So the
+    work of a quote is its own days, however many there are. The days are sent to every executor:
+    the calendar bounds them.
+    """
+    spark = rates.sparkSession
+    calendar = spark.range(1, numPartitions=1).select(days.alias("_days")).select(
+        F.explode("_days").alias("quote_day")
     )
+    calendar = calendar.select("quote_day", _month(F.col("quote_day")).alias("_month"))
+    months = calendar.agg(F.array_sort(F.collect_set("_month"))).scalar()
+    valid = F.col("quote_day").between(F.col("valid_from"), F.col("valid_to"))
+    by_month = quotes_by_month(rates, months, base)
+    return by_month.join(F.broadcast(calendar), "_month").filter(valid).drop("_month")
 
 
 def first_rate_by_day(rates: DataFrame, days: Column, base: str = BASE_CURRENCY) -> DataFrame:

@@ -1,14 +1,23 @@
-"""Quality checks as data. Nothing runs here but :func:`enforce`."""
+"""Quality checks as data.
+
+Costs are read once for all input checks: grouped by the extraction key, written, and looked at
+there. What tells good rows from bad ones can also be counted while the rows are written
+(:func:`observed`), or routed with them (:func:`route`).
+"""
 
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from outlay.functions.values import is_close, is_finite, unparsed
 from outlay.sources.files import MALFORMED
+from outlay.operators.joins import left_lookup
 from outlay.sources.schemas import BASE_CURRENCY, EXTRACTION_KEY, REQUIRED
+from outlay.sources.scratch import new_table_path, staged
+
+OFFENDERS = 5  # values named for each failed check, at most
 
 
 def _count_if(condition: Column, name: str) -> Column:
@@ -179,33 +188,79 @@ def _has(df: DataFrame, *columns: str) -> bool:
     return all(c in df.columns for c in columns)
 
 
+# What each check of a row looks at, and when that is bad.
+_COST_CHECKS = {
+    "costs_customer_id_not_null": ("customer_id", F.isnull),
+    "costs_segments_date_parses": ("segments_date", lambda c: unparsed(c, "timestamp")),
+    "costs_cost_is_numeric": ("metrics_cost_micros", lambda c: unparsed(c, "decimal(28,6)")),
+    "costs_last_extracted_at_parses": ("last_extracted_at", lambda c: unparsed(c, "timestamp")),
+    "costs_rows_well_formed": (MALFORMED, F.col),
+}
+_HAVE_ACCOUNTS = "costs_customers_have_accounts"
+
+
 def _cost_checks(costs: DataFrame) -> dict[str, Column]:
-    checks = {
-        "costs_customer_id_not_null": ("customer_id", F.isnull),
-        "costs_segments_date_parses": ("segments_date", lambda c: unparsed(c, "timestamp")),
-        "costs_cost_is_numeric": ("metrics_cost_micros", lambda c: unparsed(c, "decimal(28,6)")),
-        "costs_last_extracted_at_parses": (
-            "last_extracted_at",
-            lambda c: unparsed(c, "timestamp"),
-        ),
-        "costs_rows_well_formed": (MALFORMED, F.col),
-    }
-    return {name: bad(c) for name, (c, bad) in checks.items() if _has(costs, c)}
+    return {name: bad(c) for name, (c, bad) in _COST_CHECKS.items() if _has(costs, c)}
+
+
+def observed(costs: DataFrame) -> tuple[DataFrame, Observation | None]:
+    """``costs`` that count their bad values when they are written, and where the counts will be:
+    :func:`input_report` then need not read them for it."""
+    of_costs = _cost_checks(costs)
+    if not of_costs:
+        return costs, None
+    seen = Observation()
+    return costs.observe(seen, *[_count_if(bad, name) for name, bad in of_costs.items()]), seen
+
+
+def _costs_by_key(costs: DataFrame) -> DataFrame:
+    """Rows by extraction key, as text or typed, with the bad values among them: one pass."""
+    rest = {n: bad for n, bad in _cost_checks(costs).items() if _COST_CHECKS[n][0] not in EXTRACTION_KEY}
+    grouped = costs.groupBy(*EXTRACTION_KEY).agg(
+        F.count(F.lit(1)).alias("n"), *[_count_if(bad, name) for name, bad in rest.items()]
+    )
+    return staged(grouped, "by-key")
+
+
+def _bad_costs(by_key: DataFrame, costs: DataFrame) -> DataFrame:
+    """One row with the number of rows that fail each check."""
+    counts = []
+    for name, bad in _cost_checks(costs).items():
+        in_key = _COST_CHECKS[name][0] in EXTRACTION_KEY
+        n = F.sum(F.when(bad, F.col("n")) if in_key else F.col(name))
+        counts.append(F.coalesce(n, F.lit(0)).alias(name))
+    return by_key.agg(*counts)
 
 
-def input_report(costs: DataFrame, accounts: DataFrame, rates: DataFrame) -> DataFrame:
-    """All input checks as rows (check, passed, n_bad).
+def _known(seen: Observation, like: DataFrame) -> DataFrame:
+    counts = seen.get
+    row = like.sparkSession.range(1, numPartitions=1)
+    return row.select(*[F.lit(n).cast("bigint").alias(name) for name, n in counts.items()])
+
+
+def input_report(
+    costs: DataFrame, accounts: DataFrame, rates: DataFrame, seen: Observation | None = None
+) -> DataFrame:
+    """All input checks as rows (check, passed, n_bad). ``seen`` has the counts of bad costs where
+    they were taken already (:func:`observed`).
 
     Checks that need an absent column are left out; the column check itself has failed then.
     Repeated extractions are counted for information and always pass.
     """
     parts = [_columns_check({"costs": costs, "accounts": accounts, "rates": rates})]
+    whole_key = _has(costs, *EXTRACTION_KEY)
+    by_key = _costs_by_key(costs) if whole_key else None
     of_costs = _cost_checks(costs)
-    if of_costs:  # all in one pass
-        counted = costs.agg(*[_count_if(bad, name) for name, bad in of_costs.items()])
+    if of_costs:
+        if seen is not None:
+            counted = _known(seen, costs)
+        elif whole_key:
+            counted = _bad_costs(by_key, costs)
+        else:
+            counted = costs.agg(*[_count_if(bad, name) for name, bad in of_costs.items()])
         parts.append(_unpivot(counted, {name: name for name in of_costs}))
-    if _has(costs, *EXTRACTION_KEY):
-        copies = duplicate_groups(costs).agg(
+    if whole_key:
+        copies = by_key.filter(F.col("n") > 1).agg(
             F.count(F.lit(1)).alias("groups"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")
         )
         parts.append(
@@ -232,10 +287,55 @@ def input_report(costs: DataFrame, accounts: DataFrame, rates: DataFrame) -> Dat
             )
         )
     if _has(costs, "customer_id") and _has(accounts, "account_id"):
-        parts.append(_none_of(orphan_customers(costs, accounts), "costs_customers_have_accounts"))
+        customers = by_key if whole_key else costs
+        parts.append(_none_of(orphan_customers(customers, accounts), _HAVE_ACCOUNTS))
     return _union(parts)
 
 
+def with_findings(costs: DataFrame, accounts: DataFrame) -> DataFrame:
+    """All costs with ``findings``, the names of the checks that the row fails, and ``offending``,
+    the value each of them looked at, as text.
+
+    Accounts are looked up as a table of their distinct ids, so that no cost is repeated.
+    """
+    ids = accounts.select(F.col("account_id").alias("_account")).where("_account is not null").distinct()
+    looked_up = left_lookup(costs, ids, F.col("customer_id") == F.col("_account"))
+    checks = [(name, _COST_CHECKS[name][0], bad) for name, bad in _cost_checks(costs).items()]
+    checks.append((_HAVE_ACCOUNTS, "customer_id", F.col("_account").isNull()))
+    found = [
+        F.when(bad, F.struct(F.lit(name).alias("check"), F.col(c).cast("string").alias("value")))
+        for name, c, bad in checks
+    ]
+    return looked_up.withColumn("_found", F.array_compact(F.array(*found))).select(
+        *costs.columns, F.col("_found.check").alias("findings"), F.col("_found.value").alias("offending")
+    )
+
+
+def route(found: DataFrame, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Costs with their findings (:func:`with_findings`), written in one pass to two folders below
+    ``path``: the rows without any, as they came, and the quarantined ones with their reasons."""
+    spark = found.sparkSession
+    path = path or new_table_path(spark, "routed")
+    marked = found.withColumn("quarantined", F.size("findings") > 0)
+    marked.write.mode("overwrite").partitionBy("quarantined").parquet(path)
+    both = spark.read.schema(marked.schema).parquet(path)
+    good = both.where(~F.col("quarantined")).drop("quarantined", "findings", "offending")
+    return good, both.where("quarantined").drop("quarantined")
+
+
+def offenders(quarantined: DataFrame, most: int = OFFENDERS) -> DataFrame:
+    """For each check the values that fail it in the most rows, ``most`` of them: ``check``,
+    ``value``, ``n``. A missing value is one of them."""
+    pairs = F.explode(F.arrays_zip("findings", "offending")).alias("pair")
+    counted = (
+        quarantined.select(pairs)
+        .groupBy(F.col("pair.findings").alias("check"), F.col("pair.offending").alias("value"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    first = Window.partitionBy("check").orderBy(F.desc("n"), F.asc_nulls_first("value"))
+    return counted.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= most).drop("_rank")
+
+
 def output_report(audit: DataFrame) -> DataFrame:
     """All output checks as rows (check, passed, n_bad), from one pass over the audit frame.
 
@@ -274,8 +374,22 @@ class QualityError(Exception):
     """A quality gate did not pass."""
 
 
-def enforce(report: DataFrame, ignore: tuple[str, ...] = ()) -> None:
-    """Raise if any check of the report failed, naming all that did."""
+def enforce(
+    report: DataFrame, ignore: tuple[str, ...] = (), costs: DataFrame | None = None
+) -> None:
+    """Raise if any check of the report failed, naming all that did.
+
+    ``costs`` with their findings are looked at only then, for the values that fail most often.
+    """
     failed = report.filter(~F.col("passed") & ~F.col("check").isin(*ignore, "")).collect()
-    if failed:
-        raise QualityError(", ".join(f"{r['check']} ({r['n_bad']})" for r in failed))
+    if not failed:
+        return
+    named: dict[str, list[str]] = {}
+    if costs is not None:
+        worst = offenders(costs).where(F.col("check").isin([r["check"] for r in failed]))
+        for r in worst.orderBy("check", F.desc("n"), "value").collect():
+            named.setdefault(r["check"], []).append(f"{r['value']!r} {r['n']}x")
+    raise QualityError(", ".join(
+        f"{r['check']} ({r['n_bad']})" + "".join(f": {'; '.join(named[r['check']])}" for _ in named.get(r["check"], [])[:1])
+        for r in failed
+    ))

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from outlay.operators import fx
 from outlay.operators.accounts import same_account
-from outlay.operators.joins import BROADCAST_BYTES, fits_broadcast, left_join
+from outlay.functions.values import exact_parts, exact_total
+from outlay.operators.joins import BROADCAST_BYTES, left_join, lookup_table
 from outlay.sources.schemas import SPEND_KEY
 
 _MICROS, _ROWS, _FIRST = "_micros", "_rows", "_first"
@@ -30,8 +31,7 @@ def spend_cells(
     Accounts too large to broadcast are joined to costs already summed per customer and day,
     which leaves a hot customer with one row per day.
     """
-    attributes = accounts.select("account_id", "currency", *SPEND_KEY[1:])
-    small = fits_broadcast(attributes, limit)
+    attributes, small = lookup_table(accounts.select("account_id", "currency", *SPEND_KEY[1:]), limit)
     if small:
         part = costs.select(
             "segments_date",
@@ -55,19 +55,19 @@ def spend_cells(
 
 
 def price_cells(
-    cells: DataFrame, rates: DataFrame, days: Column, every_match: bool = False
+    cells: DataFrame,
+    rates: DataFrame,
+    days: Column,
+    every_match: bool = False,
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Convert each cell with its first matching quote, or once with every matching quote.
 
     Still one row per group and currency. Besides the amounts it has what a mean rate over cost
     rows needs: the rows with a rate, their rates' sum, and the rows without.
     """
-    priced = (
-        # Shuffled without a look at the size (limit 0): both sides are summed up already.
-        fx.with_every_rate(cells, rates, days, limit=0)
-        if every_match
-        else fx.with_first_rate(cells, rates, days, limit=0)
-    )
+    look_up = fx.with_every_rate if every_match else fx.with_first_rate
+    priced = look_up(cells, rates, days, limit)
     rate = fx.base_rate(F.col("currency"), F.col("rate"))
     rated_rows = F.when(rate.isNotNull(), F.col(_ROWS)).otherwise(F.lit(0))
     amounts = {
@@ -95,13 +95,20 @@ def price_cells(
     )
 
 
-def audit_spend(priced: DataFrame, zero_fill: bool = False) -> DataFrame:
+def _exact_sum(name: str) -> Column:
+    """The sum of doubles rounded once, whatever the order they are added in."""
+    whole, fraction = exact_parts(F.col(name))
+    return exact_total(F.sum(whole), F.sum(fraction))
+
+
+def audit_spend(priced: DataFrame, zero_fill: bool = False, exact: bool = False) -> DataFrame:
     """Spend per report group with the columns the output checks need.
 
     ``rate`` is the mean over cost rows that have one, ``currency`` that of the first row with
-    one, ``least_rate`` and ``greatest_rate`` bound the rates. A group without any rate has a NULL total, or 0 with ``zero_fill``.
+    one, ``least_rate`` and ``greatest_rate`` bound the rates. A group without any rate has a NULL
+    total, or 0 with ``zero_fill``. With ``exact`` the total does not depend on how data are split.
     """
-    total = F.sum(_SPEND)
+    total = _exact_sum(_SPEND) if exact else F.sum(_SPEND)
     first_seen = F.when(F.col("currency").isNotNull(), F.col(_FIRST))
     return priced.groupBy(*SPEND_KEY).agg(
         (F.coalesce(total, F.lit(0.0)) if zero_fill else total).alias("total_spend_eur"),

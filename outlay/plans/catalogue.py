@@ -9,7 +9,7 @@ from outlay.functions.names import normalize_columns
 from outlay.functions.values import fixed2, half_even, typed
 from outlay.operators import fx, quality
 from outlay.operators.accounts import with_accounts
-from outlay.operators.latest import keep_latest_max_by
+from outlay.operators.latest import keep_latest_max_by, latest_state, merge_latest
 from outlay.operators.ordinals import global_rank, rank_within
 from outlay.operators.report import report_lines, spend_report
 from outlay.plans.daily_spend import NEWEST, SpendOptions, daily_spend, latest_costs, spend_audit
@@ -17,6 +17,7 @@ from outlay.sources import tables
 from outlay.sources.files import read_csv
 from outlay.sources.schemas import COST_KEY, COSTS, RATES, SPEND_KEY
 from outlay.sources.scratch import new_table_path
+from outlay.sources.sinks import write_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +38,11 @@ def _spend(options: SpendOptions = SpendOptions()) -> Query:
     return query
 
 
+def daily_spend_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals as they are, to the last digit."""
+    return daily_spend(*_inputs(spark, sf_dir), SpendOptions(exact=True))
+
+
 def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spend_audit(*_inputs(spark, sf_dir))
 
@@ -94,6 +100,18 @@ def scan_csv_na_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scan_csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one folder with their columns in two orders and two spellings."""
+    text = _numbered(tables.costs_text(spark, sf_dir))
+    path = _costs_csv(spark, text.where("event_id % 2 = 0"))
+    other = text.where("event_id % 2 = 1").select(*reversed(text.columns))
+    names = [c.title().replace("_", " ") for c in other.columns]
+    other.toDF(*names).write.option("header", True).mode("append").csv(path)
+    return _typed_costs(read_csv(spark, path, mixed_headers=True)).withColumn(
+        "event_id", F.col("event_id").cast("bigint")
+    )
+
+
 def normalized_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = tables.load(spark, sf_dir, "events").select(
         F.col("event_id").alias(" Event Id "),
@@ -135,6 +153,14 @@ def keep_latest_by_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_latest_max_by(costs, COST_KEY, NEWEST).drop("last_extracted_at")
 
 
+def keep_latest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest of one half of the extractions, kept as a state, with the other half merged in."""
+    costs = tables.costs(spark, sf_dir)
+    state = latest_state(latest_costs(costs.where("src_ord % 2 = 0")), COST_KEY, buckets=8)
+    merged = merge_latest(state, costs.where("src_ord % 2 = 1"), COST_KEY, NEWEST)
+    return merged.drop("last_extracted_at")
+
+
 # --- joins and conversion -------------------------------------------------------------------
 
 
@@ -156,12 +182,13 @@ def _in_currency(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 
 
 def fx_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fx.with_every_rate(*_in_currency(spark, sf_dir))
+    """Quotes by day are shuffled, whatever their size."""
+    return fx.with_every_rate(*_in_currency(spark, sf_dir), limit=0)
 
 
 def fx_interval_join_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same result with the other join: quotes by day are shuffled, never sent to all."""
-    return fx.with_every_rate(*_in_currency(spark, sf_dir), limit=0)
+    """The same result with the other join: quotes by day are measured and sent to all."""
+    return fx.with_every_rate(*_in_currency(spark, sf_dir))
 
 
 def fx_first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,10 +220,9 @@ def keep_latest_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
     events = tables.load(spark, sf_dir, "events").select(
         "event_id", F.date_trunc("hour", "ts").cast("timestamp").alias("segments_date"),
-        hour.alias("last_extracted_at"),
+        F.col("ts").alias("last_extracted_at"),
     )
     costs = tables.costs(spark, sf_dir).drop("segments_date", "last_extracted_at")
     return costs.join(events, costs["src_ord"] == events["event_id"]).drop("event_id")
@@ -280,6 +306,19 @@ def dq_duplicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flagged.select("src_ord", *COST_KEY, "is_duplicate")
 
 
+def dq_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Costs that fail a check, with all they fail."""
+    found = quality.with_findings(tables.costs_text(spark, sf_dir), tables.accounts(spark, sf_dir))
+    _, bad = quality.route(found)
+    return bad.select("src_ord", "customer_id", F.array_join("findings", " ").alias("findings"))
+
+
+def dq_offenders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each check of a cost the values that fail it most often."""
+    found = quality.with_findings(tables.costs_text(spark, sf_dir), tables.accounts(spark, sf_dir))
+    return quality.offenders(found)
+
+
 def dq_cost_eur_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mismatching groups; ``comparable`` tells those where the comparison has to hold."""
     mismatches = quality.cost_mismatches(_audit(spark, sf_dir))
@@ -331,6 +370,20 @@ def daily_spend_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spend_report(_spend()(spark, sf_dir))
 
 
+def daily_spend_report_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A written report whose odd days were written again, with amounts ten times as high."""
+    spend = _spend()(spark, sf_dir)
+    path = new_table_path(spark, "report")
+    write_report(spend_report(spend), path, "parquet")
+    again = spend.where(F.dayofmonth("segments_date") % 2 == 1).withColumn(
+        "total_spend_eur", F.col("total_spend_eur") * 10
+    )
+    write_report(spend_report(again), path, "parquet", keep_other_days=True)
+    schema = "rank bigint, country string, brand string, channel_type string, total_spend_eur string"
+    back = spark.read.schema(f"{schema}, segments_date string").parquet(path)
+    return back.drop("rank")
+
+
 def report_rank_text_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spend_report(_spend()(spark, sf_dir), text_order=True, number=half_even)
 
@@ -358,12 +411,14 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "daily_spend": _spend(),
+        "daily_spend_exact": daily_spend_exact,
         "daily_spend_audit": daily_spend_audit,
         "daily_spend_all_matches": _spend(SpendOptions(every_match=True)),
         "daily_spend_drop_null_keys": _spend(SpendOptions(drop_null_keys=True)),
         "daily_spend_zero_fill": _spend(SpendOptions(zero_fill=True)),
         "scan_csv_typed": scan_csv_typed,
         "scan_csv_na_tokens": scan_csv_na_tokens,
+        "scan_csv_mixed_headers": scan_csv_mixed_headers,
         "normalize_columns": normalized_columns,
         "preprocess_costs": preprocess_costs,
         "preprocess_rates": preprocess_rates,
@@ -371,6 +426,7 @@ def queries() -> dict[str, Query]:
         "extraction_rank": extraction_rank,
         "keep_latest": keep_latest,
         "keep_latest_max_by": keep_latest_by_aggregate,
+        "keep_latest_incremental": keep_latest_incremental,
         "costs_with_accounts": costs_with_accounts,
         "fx_interval_join": fx_interval_join,
         "fx_interval_join_broadcast": fx_interval_join_broadcast,
@@ -386,6 +442,8 @@ def queries() -> dict[str, Query]:
         "dq_duplicate_rows": dq_duplicate_rows,
         "dq_cost_eur_mismatch": dq_cost_eur_mismatch,
         "dq_eur_rate": dq_eur_rate,
+        "dq_quarantine": dq_quarantine,
+        "dq_offenders": dq_offenders,
         "dq_report": dq_report,
         "dq_single_currency": dq_single_currency,
         "dq_total": dq_total,
@@ -396,6 +454,7 @@ def queries() -> dict[str, Query]:
         "fx_first_match_many_quotes_shuffled": fx_first_match_many_quotes_shuffled,
         "daily_spend_many_quotes": daily_spend_many_quotes,
         "daily_spend_report": daily_spend_report,
+        "daily_spend_report_by_day": daily_spend_report_by_day,
         "report_rank_text_order": report_rank_text_order,
         "spend_text_half_even": spend_text_half_even,
         "report_lines": lines,

@@ -19,11 +19,13 @@ class SpendOptions:
     every_match     sum a cost once per matching quote instead of using the first quote
     drop_null_keys  leave out groups with a NULL key
     zero_fill       total 0 instead of NULL for a group without any rate
+    exact           totals are the exact sums, rounded once, in whatever order they are added
     """
 
     every_match: bool = False
     drop_null_keys: bool = False
     zero_fill: bool = False
+    exact: bool = False
 
 
 def latest_costs(costs: DataFrame) -> DataFrame:
@@ -42,8 +44,8 @@ def spend_audit(
     """Spend per group with its audit columns. ``days`` saves a pass over them if known."""
     cells = spend.spend_cells(latest_costs(costs), accounts, options.drop_null_keys, limit)
     days = fx.cost_days(costs) if days is None else days
-    priced = spend.price_cells(cells, rates, days, options.every_match)
-    return spend.audit_spend(priced, options.zero_fill)
+    priced = spend.price_cells(cells, rates, days, options.every_match, limit)
+    return spend.audit_spend(priced, options.zero_fill, options.exact)
 
 
 def daily_spend(

@@ -46,30 +46,48 @@ def run(
     gate: bool = True,
     ignore: tuple[str, ...] = INFORMATIVE,
     line_breaks: bool = False,
+    mixed_headers: bool = False,
+    quarantine: str | None = None,
+    days_as: str | None = None,
 ) -> Outcome:
-    """Read, check, compute, check again. With ``gate`` a failed check raises ``QualityError``.
+    """Read, check, compute, check again. With ``gate`` a failed check raises ``QualityError``, which
+    names the values that most costs fail by.
+
+    With ``quarantine``, a folder, costs that fail a check are written there with their reasons, and
+    the run goes on with the others. ``days_as`` (``date``, ``timestamp``) fixes the type of the
+    report's days; else it is ``date`` unless a cost has a time of day.
 
     Bare dates and times are read in the session time zone, which should be UTC. Each CSV is parsed
     once, to Parquet in the shared folder: the checks and the plan then read only their columns.
     Inside :func:`outlay.sources.scratch.scope` those tables go when the scope ends; the outcome is
     checkpointed by then and needs none of them.
     """
-    raw_costs = staged(read_csv(spark, costs_path, na_tokens, line_breaks), "costs")
-    raw_accounts = staged(read_csv(spark, accounts_path, na_tokens, line_breaks), "accounts")
-    raw_rates = staged(read_csv(spark, rates_path, na_tokens, line_breaks), "rates")
+    reading = {"na_tokens": na_tokens, "line_breaks": line_breaks, "mixed_headers": mixed_headers}
+    raw_accounts = staged(read_csv(spark, accounts_path, **reading), "accounts")
+    raw_rates = staged(read_csv(spark, rates_path, **reading), "rates")
+    raw_costs = read_csv(spark, costs_path, **reading)
+    seen = None
+    findable = "customer_id" in raw_costs.columns and "account_id" in raw_accounts.columns
+    if quarantine and findable:
+        raw_costs, _ = quality.route(quality.with_findings(raw_costs, raw_accounts), quarantine)
+    else:
+        # Bad values are counted by the tasks that write the costs.
+        raw_costs, seen = quality.observed(raw_costs)
+        raw_costs = staged(raw_costs, "costs")
 
     shared_dir(spark)
     # The reports are a few rows; a checkpoint keeps later looks from running the checks again.
-    before = quality.input_report(raw_costs, raw_accounts, raw_rates).checkpoint()
+    before = quality.input_report(raw_costs, raw_accounts, raw_rates, seen).checkpoint()
     if gate:
-        quality.enforce(before, ignore)
+        named = quality.with_findings(raw_costs, raw_accounts) if findable else None
+        quality.enforce(before, ignore, named)
 
     inputs = (
         typed(raw_costs, COSTS, keep=(ORDINAL,)),
         typed(raw_accounts, ACCOUNTS),
         typed(raw_rates, RATES, keep=(ORDINAL,)),
     )
-    audit = _in_days(spend_audit(*inputs, options).checkpoint())
+    audit = _in_days(spend_audit(*inputs, options).checkpoint(), days_as)
     after = (
         quality.output_report(audit)
         .unionByName(quality.total_report(_row_by_row(*inputs, options), audit))
@@ -80,8 +98,10 @@ def run(
     return Outcome(public_spend(audit), audit, before.unionByName(after))
 
 
-def _in_days(audit: DataFrame) -> DataFrame:
-    """Days of spend as dates, unless one of them has a time of day."""
+def _in_days(audit: DataFrame, days_as: str | None) -> DataFrame:
+    """Days of spend as the type asked for, or as dates unless one of them has a time of day."""
+    if days_as:
+        return audit.withColumn("segments_date", F.col("segments_date").cast(days_as))
     timed = F.col("segments_date") != F.date_trunc("day", "segments_date")
     if audit.filter(timed).limit(1).count():
         return audit
@@ -100,9 +120,14 @@ def _row_by_row(
 
 
 def write(
-    outcome: Outcome, path: str, style: ReportStyle = ReportStyle(), data_format: str = "lines"
+    outcome: Outcome,
+    path: str,
+    style: ReportStyle = ReportStyle(),
+    data_format: str = "lines",
+    keep_other_days: bool = False,
 ) -> None:
-    """Write the report to ``path`` as fixed-width ``lines``, or as ``csv`` / ``parquet`` by day."""
+    """Write the report to ``path`` as fixed-width ``lines``, or as ``csv`` / ``parquet`` by day, where
+    ``keep_other_days`` leaves the days that this run does not have as they are."""
     report = spend_report(
         outcome.spend,
         text_order=style.text_order,
@@ -112,4 +137,4 @@ def write(
     if data_format == "lines":
         write_lines(report_lines(report, text_amounts=style.text_order), path)
     else:
-        write_report(report, path, data_format)
+        write_report(report, path, data_format, keep_other_days)

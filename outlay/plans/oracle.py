@@ -186,7 +186,51 @@ union all select 'spend_eur_rate_is_one', count(*) = 0, count(*)
   from audit where currency = 'EUR' and n_currencies = 1 and rate <> 1
 """
 
+_FINDINGS = """
+findings as (
+  select src_ord, customer_id, segments_date, metrics_cost_micros, last_extracted_at,
+         customer_id is null as no_id, try_cast(segments_date as date) is null as no_day,
+         try_cast(metrics_cost_micros as bigint) is null as no_cost,
+         try_cast(replace(last_extracted_at, 'Z', '') as timestamp) is null as no_time,
+         not exists (select 1 from accounts where account_id = t.customer_id) as no_account
+  from costs_text t),
+failed as (
+  select 'costs_customer_id_not_null' as "check", customer_id as "value" from findings where no_id
+  union all select 'costs_segments_date_parses', segments_date from findings where no_day
+  union all select 'costs_cost_is_numeric', metrics_cost_micros from findings where no_cost
+  union all select 'costs_last_extracted_at_parses', last_extracted_at from findings where no_time
+  union all select 'costs_customers_have_accounts', customer_id from findings where no_account)
+"""
+
 _SELECTS = {
+    # Every cell's spend in units of 2^-60, as whole numbers; read as text, the sum is rounded once.
+    "daily_spend_exact": f"""
+        select {_GROUP}, cast(cast(sum(units) as varchar) as double) / 1152921504606846976.0::double
+                 as total_spend_eur
+        from (select {_GROUP}, cast(floor(x) as hugeint) * 1152921504606846976
+                     + cast(floor((x - floor(x)) * 1152921504606846976.0::double) as hugeint) as units
+              from (select {_GROUP}, currency,
+                           cast(sum(metrics_cost_micros) as double) / any_value(rate) as x
+                    from priced group by {_GROUP}, currency))
+        group by {_GROUP}""",
+    "scan_csv_mixed_headers": _TYPED_COSTS,
+    "keep_latest_incremental": "select * exclude (last_extracted_at) from latest",
+    "dq_quarantine": """
+        select src_ord, customer_id, concat_ws(' ',
+                 case when no_id then 'costs_customer_id_not_null' end,
+                 case when no_day then 'costs_segments_date_parses' end,
+                 case when no_cost then 'costs_cost_is_numeric' end,
+                 case when no_time then 'costs_last_extracted_at_parses' end,
+                 case when no_account then 'costs_customers_have_accounts' end) as findings
+        from findings where no_id or no_day or no_cost or no_time or no_account""",
+    "dq_offenders": """
+        select "check", "value", count(*) as n from failed group by "check", "value"
+        qualify row_number() over (partition by "check" order by count(*) desc, "value" nulls first) <= 5""",
+    "daily_spend_report_by_day": """
+        select strftime(segments_date, '%Y-%m-%d') as segments_date, domain as country, brand,
+               channel_type, printf('%.2f', total_spend_eur
+                 * case when dayofmonth(segments_date) % 2 = 1 then 10 else 1 end) as total_spend_eur
+        from spend""",
     "daily_spend": "select * from spend",
     "daily_spend_audit": f"""
         select {_GROUP}, round(total_spend_eur, 2) as total_spend_eur, total_metrics_cost,
@@ -292,9 +336,10 @@ _SELECTS = {
     "keep_latest_hourly": """
         select strftime(hour, '%Y-%m-%d %H:%M:%S') as segments_date, customer_id, campaign_id,
                metrics_cost_micros, src_ord
-        from (select *, last_extracted_at as hour from costs)
+        from (select c.*, date_trunc('hour', e.ts) as hour, e.ts as extracted
+              from costs c join events e on c.src_ord = e.event_id)
         qualify row_number() over (partition by campaign_id, hour, customer_id
-                                   order by last_extracted_at desc, src_ord desc) = 1""",
+                                   order by extracted desc, src_ord desc) = 1""",
     "spend_decimal_costs": """
         select strftime(hour, '%Y-%m-%d %H:%M:%S') as segments_date, domain, brand, channel_type,
                round(sum(micros / rate), 2) as total_spend_eur
@@ -342,4 +387,4 @@ _SELECTS = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: f"with {_VIEWS} {select}" for name, select in _SELECTS.items()}
+    return {name: f"with {_VIEWS}, {_FINDINGS} {select}" for name, select in _SELECTS.items()}

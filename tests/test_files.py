@@ -70,3 +70,21 @@ def test_rows_of_another_width_are_marked(spark, tmp_path):
     (tmp_path / "w.csv").write_text("A,B\n1,2\n3\n4,5,6\n")
     df = read_csv(spark, str(tmp_path / "w.csv"))
     assert rows(df, "a", "src_malformed") == [("1", False), ("3", True), ("4", True)]
+
+
+def test_files_with_mixed_headers_are_bound_by_name(spark, tmp_path):
+    (tmp_path / "a b.csv").write_text('A,"B c"\n1,2\n3,4\n')
+    (tmp_path / "c+d%20.csv").write_text(" b C ,A\n6,5\n")
+    (tmp_path / "e.csv").write_text("\nB_C,a\n8,7\n")
+    (tmp_path / "f.csv").write_text("")
+    df = read_csv(spark, str(tmp_path), mixed_headers=True)
+    assert rows(df, "a", "b_c") == [("1", "2"), ("3", "4"), ("5", "6"), ("7", "8")]
+    assert [r.a for r in df.orderBy("src_ord").collect()] == ["1", "3", "5", "7"]
+    (tmp_path / "g.csv").write_text("A,D\n1,2\n")
+    with pytest.raises(ValueError, match="differ"):
+        read_csv(spark, str(tmp_path), mixed_headers=True)
+
+
+def test_mixed_headers_of_one_kind_and_of_none(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("A\n1\n")
+    assert rows(read_csv(spark, str(tmp_path), mixed_headers=True), "a") == [("1",)]

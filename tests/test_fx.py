@@ -95,6 +95,28 @@ def test_cost_eur(spark):
     assert dict(priced.dtypes)["cost_eur"] == "double"
 
 
+def test_work_of_a_quote_grows_with_its_own_days(spark):
+    """A hundred years of days: quotes of three days reach into two months at most."""
+    costs = spark.range(36_525).select(
+        F.lit("USD").alias("currency"), F.date_add(F.lit(d(1)), F.col("id").cast("int")).alias("segments_date")
+    )
+    quotes = spark.range(3000).select(
+        F.lit("USD").alias("currency"), F.lit("EUR").alias("base"), F.col("id").cast("double").alias("rate"),
+        F.date_add(F.lit(d(1)), (F.col("id") * 12).cast("int")).alias("valid_from"),
+        F.date_add(F.lit(d(1)), (F.col("id") * 12 + 2).cast("int")).alias("valid_to"),
+        F.col("id").alias("src_ord"),
+    )
+    days = fx.cost_days(costs)
+    months = F.array_sort(F.collect_set(fx._month(F.col("segments_date"))))
+    reached = fx.quotes_by_month(quotes, costs.agg(months).scalar())
+    assert 3000 <= reached.count() <= 6000
+    by_day = fx.quotes_by_day(quotes, days)
+    assert by_day.count() == 9000
+    assert by_day.where("quote_day < valid_from or quote_day > valid_to").count() == 0
+    text = by_day._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in text and "Cartesian" not in text
+
+
 def test_wrong_dates_far_off_do_not_unroll_what_lies_between(spark):
     costs = spark.createDataFrame(
         [(0, "USD", date(1, 1, 1), 1), (1, "USD", d(3), 1), (2, "USD", date(9999, 12, 31), 1)],

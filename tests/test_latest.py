@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from outlay.operators.latest import keep_latest, keep_latest_max_by
+from outlay.operators.latest import keep_latest, keep_latest_max_by, latest_state, merge_latest
 from outlay.plans.daily_spend import NEWEST
 from outlay.sources.schemas import COST_KEY
 from tests.frames import COSTS, at, costs, d, rows
@@ -48,3 +48,23 @@ def test_against_brute_force_with_a_hot_key(spark, keep):
             best[key] = r
     df = spark.createDataFrame(data, COSTS).repartition(6)
     assert rows(keep(df, COST_KEY, NEWEST)) == sorted(best.values(), key=repr)
+
+
+KEYS, ORDER = ["k", "l"], ["at", "src_ord"]
+
+
+def by_state(batches):
+    state = latest_state(keep_latest(batches[0], KEYS, ORDER), KEYS, 3)
+    for batch in batches[1:]:
+        state = latest_state(merge_latest(state, batch, KEYS, ORDER), KEYS, 3)
+    return rows(state.select("k", "l", "at", "src_ord"))
+
+
+def test_state_gives_what_all_rows_give(spark):
+    r = random.Random(5)
+    data = [(r.choice(["a", "b", None]), r.choice([1, 2, None]), r.choice([1, 2, 3, None]), i) for i in range(90)]
+    schema = "k string, l int, at int, src_ord int"
+    batches = [spark.createDataFrame(data[i : i + 30], schema) for i in (0, 30, 60)]
+    want = rows(keep_latest(spark.createDataFrame(data, schema), KEYS, ORDER))
+    assert by_state(batches) == want
+    assert by_state([batches[0].limit(0), *batches, batches[1], batches[0].limit(0)]) == want

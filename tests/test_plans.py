@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from outlay.operators import fx, quality
 from outlay.operators.accounts import with_accounts
 from outlay.operators.joins import fits_broadcast, measured_bytes
-from outlay.operators.latest import keep_latest_max_by
+from outlay.operators.latest import keep_latest_max_by, latest_state, merge_latest
 from outlay.plans import catalogue
 from outlay.plans.daily_spend import NEWEST, SpendOptions, daily_spend, latest_costs
 from outlay.sources import tables
@@ -131,11 +131,48 @@ def test_copies_of_a_hot_key_are_split(spark, no_broadcast):
     assert flagged.filter("is_duplicate and customer_id = 'hot'").count() == 66_667
 
 
-def test_unrolled_quotes_are_never_broadcast_unmeasured(spark, conf):
+@pytest.mark.parametrize("options", [SpendOptions(), SpendOptions(every_match=True)])
+def test_unrolled_quotes_are_broadcast_if_measured_small(spark, conf, options):
     conf(spark__sql__autoBroadcastJoinThreshold="1g")
-    for options in (SpendOptions(), SpendOptions(every_match=True)):
-        text = plan(daily_spend(*catalogue._inputs(spark, SF), options))
-        assert "SortMergeJoin [currency" in text
+    inputs = catalogue._inputs(spark, SF)
+    small, large = daily_spend(*inputs, options), daily_spend(*inputs, options, limit=0)
+    assert "BroadcastHashJoin [currency" in plan(small)
+    assert "SortMergeJoin [currency" in plan(large)
+    assert plan(small).count("Exchange hashpartitioning") <= 5
+    assert _rounded(small) == _rounded(large)
+
+
+def test_both_forms_of_the_interval_join(spark):
+    queries = catalogue.queries()
+    assert "BroadcastHashJoin [currency" in plan(queries["fx_interval_join_broadcast"](spark, SF))
+    assert "SortMergeJoin [currency" in plan(queries["fx_interval_join"](spark, SF))
+
+
+def test_lookups_are_computed_once(spark):
+    """What is joined is the table that was written and measured, not what it was made from."""
+    made = spark.range(100).groupBy((F.col("id") % 7).cast("string").alias("account_id")).count()
+    text = plan(with_accounts(hot_costs(spark), made))
+    assert "/lookup-" in text and "Aggregate" not in text and "BroadcastHashJoin" in text
+    assert "/lookup-" not in plan(with_accounts(hot_costs(spark), made, limit=0))
+
+
+def test_costs_are_read_once_for_the_input_checks(spark):
+    report = quality.input_report(
+        tables.costs_text(spark, SF), tables.accounts(spark, SF), tables.rates_text(spark, SF)
+    )
+    assert "events.parquet" not in plan(report)  # what is left reads the costs by key
+    assert plan(catalogue.dq_report(spark, SF)).count("events.parquet") <= 2
+
+
+def test_state_is_merged_without_a_shuffle_of_its_own(spark, no_broadcast):
+    costs = tables.costs(spark, SF)
+    state = latest_state(latest_costs(costs.where("src_ord % 2 = 0")), COST_KEY, buckets=4)
+    merged = merge_latest(state, costs.where("src_ord % 2 = 1"), COST_KEY, NEWEST)
+    text = plan(merged)
+    assert "Bucketed: true" in text and "SortMergeJoin" in text
+    side = text[: text.index("Bucketed: true")]
+    assert "Exchange" not in side[side.index("SortMergeJoin") :]
+    assert text.count("Exchange hashpartitioning") == 2  # of the new rows: by key, then by bucket
 
 
 def test_size_check(spark):

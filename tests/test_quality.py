@@ -142,3 +142,48 @@ def test_absent_columns_fail_without_running_the_checks_that_need_them(spark):
     assert found["costs_columns_present"] == (False, 1)
     assert found["accounts_columns_present"] == (False, 2)
     assert "costs_customers_have_accounts" not in found and "rates_rate_is_numeric" in found
+
+
+def test_findings_name_all_that_is_wrong_with_a_row(spark):
+    df = text_costs(
+        spark, GOOD, ("9", "soon", "x", "ten", "never"), (None, *GOOD[1:]), ("9", *GOOD[1:]), ("2", *GOOD[1:])
+    )
+    known = accounts(spark, ("1", "EUR"), ("1", "USD"), ("2", "EUR"), (None, "EUR"))
+    found = quality.with_findings(df, known)
+    assert found.count() == 5  # an account listed twice repeats no cost
+    good, bad = quality.route(found)
+    assert good.columns == df.columns and rows(good) == sorted([GOOD, ("2", *GOOD[1:])])
+    no_account = "costs_customers_have_accounts"
+    assert rows(bad, "customer_id", "findings", "offending") == sorted([
+        ("9", ["costs_segments_date_parses", "costs_cost_is_numeric", "costs_last_extracted_at_parses", no_account],
+         ["soon", "ten", "never", "9"]),
+        ("9", [no_account], ["9"]),
+        (None, ["costs_customer_id_not_null", no_account], [None, None]),
+    ], key=repr)
+
+
+def test_offenders_are_few_and_the_most_frequent(spark):
+    rows_of = [(str(i % 40), *GOOD[1:]) for i in range(100)] + [("a", *GOOD[1:])] * 5
+    found = quality.with_findings(text_costs(spark, *rows_of), accounts(spark, ("x", "EUR")))
+    worst = quality.offenders(found, most=3)
+    assert rows(worst, "value", "n") == [("0", 3), ("1", 3), ("a", 5)]
+
+
+def test_error_names_offending_values(spark):
+    df = text_costs(spark, GOOD, *[(i, *GOOD[1:]) for i in ("8", "9", "9")])
+    known = accounts(spark, ("1", "EUR"))
+    report = quality.input_report(df, known, text_rates(spark, "1"))
+    with pytest.raises(quality.QualityError) as error:
+        quality.enforce(report, costs=quality.with_findings(df, known))
+    assert str(error.value) == "costs_customers_have_accounts (2): '9' 2x; '8' 1x"
+
+
+def test_counts_taken_while_writing_are_the_same(spark, tmp_path):
+    df = text_costs(spark, GOOD, (None, "soon", "x", "ten", None), ("9", *GOOD[1:]))
+    known, quotes = accounts(spark, ("1", "EUR")), text_rates(spark, "1", "abc")
+    counting, seen = quality.observed(df)
+    counting.write.parquet(str(tmp_path / "costs"))
+    written = spark.read.parquet(str(tmp_path / "costs"))
+    assert checks(quality.input_report(written, known, quotes, seen)) == checks(
+        quality.input_report(df, known, quotes)
+    )

@@ -1,8 +1,11 @@
+import math
 import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
+from outlay.functions.values import exact_parts, exact_total
 from outlay.operators.spend import audit_spend, price_cells, spend_cells
 from outlay.operators import fx
 from outlay.plans.daily_spend import SpendOptions, daily_spend, spend_audit
@@ -159,3 +162,30 @@ def test_cells_keep_exact_integers(spark):
     assert one(cells)["_micros"] == big + 1
     priced = price_cells(cells, rates(spark, USD), fx.cost_days(c))
     assert one(audit_spend(priced)).total_metrics_cost == big + 1
+
+
+def test_exact_totals_do_not_depend_on_the_order_of_addition(spark):
+    r = random.Random(11)
+    size = {0: (-8, 20), 1: (0, 62), 2: (40, 60)}
+    data = [(i % 3, math.ldexp(r.uniform(0.5, 1), r.randrange(*size[i % 3]) + 1) * r.choice([1, -1]))
+            for i in range(600)]
+    data += [(0, None), (3, None), (4, 0.0), (5, 1e18), (5, 1.0), (5, -1e18)]
+    whole, fraction = exact_parts(F.col("x"))
+    total = exact_total(F.sum(whole), F.sum(fraction)).alias("total")
+    for parts in (1, 64):
+        df = spark.createDataFrame(data, "g int, x double").repartition(parts)
+        got = {row.g: row.total for row in df.groupBy("g").agg(total).collect()}
+        assert got == {
+            g: math.fsum(x for k, x in data if k == g and x is not None) if g != 3 else None for g in range(6)
+        }
+
+
+def test_exact_spend_is_the_same_however_costs_are_split(spark, conf):
+    quotes = rates(spark, ("USD", "EUR", 1.1, 1, 31), ("GBP", "EUR", 0.7, 1, 31))
+    known = accounts(spark, *[(str(i), ("USD", "GBP", "EUR")[i % 3]) for i in range(30)])
+    raw = costs(spark, *[(1 + i % 3, str(i % 30), f"x{i}", 1 + i * 7919) for i in range(600)])
+    found = []
+    for parts in (1, 64):
+        conf(spark__sql__shuffle__partitions=str(parts))
+        found.append(rows(daily_spend(raw.repartition(parts), known, quotes, SpendOptions(exact=True))))
+    assert found[0] == found[1]
