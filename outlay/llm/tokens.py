@@ -21,7 +21,15 @@ BYTE_WORDS = (
 )
 # The words of the tokenizer that drops white space.
 SPACED_WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"""
-KNOWN = 1_000_000  # pieces kept at most by a process; beyond, it starts anew
+KNOWN = 1_000_000  # pieces kept by a process, of each of two generations
+
+
+def byte_letters() -> dict[int, str]:
+    """The letters that byte-level BPE writes bytes as: printable ones of Latin-1 as they are, the
+    others in their order from U+0100 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
 class Encoder:
@@ -49,6 +57,8 @@ class Encoder:
                 self.word_ends[number] = piece.endswith(ends)
         self.words: dict[str, bytes] = {}  # what BPE is applied to
         self.pieces: dict[str, bytes | bool] = {}  # what stands between two spaces
+        self.older: dict[str, bytes | bool] = {}  # pieces of the generation before
+        self.letters = byte_letters() if "ByteLevel" in json.dumps(spec.get("pre_tokenizer")) else None
         self.pattern = regex.compile(BYTE_WORDS if self.byte_level else SPACED_WORDS)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
@@ -70,8 +80,7 @@ class Encoder:
         split = [t.split(" ") for t in texts]
         # All pieces but a text's first carry the space before them.
         # A batch's own table is small enough to stay close to the processor.
-        ids = dict.fromkeys(chain.from_iterable(pieces[1:] for pieces in split))
-        ids = {p: known.get(p) for p in ids}
+        ids = self._known(chain.from_iterable(pieces[1:] for pieces in split))
         new = {}
         for piece in [p for p, found in ids.items() if found is None]:
             if not piece or piece[0].isspace() or piece[-1].isspace():
@@ -93,39 +102,42 @@ class Encoder:
                 out.append(np.frombuffer(b"".join(head + parts), np.uint32))
         return out
 
+    def _known(self, pieces: Iterable[str]) -> dict[str, bytes | bool | None]:
+        """What is known of a batch's pieces. What is asked for lives on in the new generation."""
+        new, old, out = self.pieces.get, self.older, {}
+        for piece in dict.fromkeys(pieces):
+            found = new(piece)
+            if found is None and old:
+                found = old.get(piece)
+                if found is not None:
+                    self.pieces[piece] = found
+            out[piece] = found
+        return out
+
     def _forget(self) -> None:
-        if len(self.pieces) > KNOWN or len(self.words) > KNOWN:
-            self.pieces, self.words = {}, {}
+        if len(self.pieces) > KNOWN:
+            self.pieces, self.older = {}, self.pieces
+        if len(self.words) > KNOWN:
+            self.words = {}
 
     def _learn_words(self, found: Iterable[str]) -> None:
-        """Unknown words, each as a line of its own: a line break is a word by itself."""
-        new = [w for w in dict.fromkeys(found) if w not in self.words]
-        plain = [w for w in new if not w.isspace()]
-        for word in new:
-            if word.isspace():
-                self.words[word] = self._whole(word).astype(np.uint32).tobytes()
-        end = self._whole("\n")
-        for start in range(0, len(plain), 5000):
-            some = plain[start : start + 5000]
-            ids = self._whole("\n".join([*some, ""]))
-            cuts = np.flatnonzero(ids == end[0])
-            if len(cuts) != len(some):  # not separable after all
-                for word in some:
-                    self.words[word] = self._whole(word).astype(np.uint32).tobytes()
-                continue
-            data, at = ids.astype(np.uint32).tobytes(), 0
-            for word, cut in zip(some, (4 * cuts).tolist(), strict=True):
-                self.words[word] = data[at:cut]
-                at = cut + 4
+        """Ids of unknown words by the library's BPE model alone: cutting a text to words, finding
+        offsets and the like take it longer than the merges."""
+        words, apply = self.words, self.library.model.tokenize
+        for word in dict.fromkeys(found):
+            if word not in words:
+                plain = word
+                if self.letters:
+                    plain = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.letters)
+                words[word] = np.array([t.id for t in apply(plain)], np.uint32).tobytes()
 
     def _by_space(self, texts: list[str]) -> list[np.ndarray]:
-        """White space separates and is dropped; the last id of every word is a word end."""
+        """White space separates and is dropped."""
         self._forget()
         known, words, find = self.pieces, self.words, self.pattern.findall
         split = [t.split() for t in texts]
         # A batch's own table is small enough to stay close to the processor.
-        ids = dict.fromkeys(chain.from_iterable(split))
-        ids = {p: known.get(p) for p in ids}
+        ids = self._known(chain.from_iterable(split))
         new: dict[str, list[str]] = {}
         odd = []
         for piece in [p for p, found in ids.items() if found is None]:
@@ -134,7 +146,7 @@ class Encoder:
                 new[piece] = find(low)
             else:
                 odd.append(piece)
-        self._learn_ends(chain.from_iterable(new.values()))
+        self._learn_words(chain.from_iterable(new.values()))
         for piece, found in new.items():
             ids[piece] = known[piece] = b"".join([words[w] for w in found])
         if odd:
@@ -144,23 +156,6 @@ class Encoder:
         get = ids.__getitem__
         return [np.frombuffer(b"".join(map(get, pieces)), np.uint32) for pieces in split]
 
-    def _learn_ends(self, found: Iterable[str]) -> None:
-        """Unknown words, between spaces: each ends with the one id that is a word's end."""
-        new = [w for w in dict.fromkeys(found) if w not in self.words]
-        for start in range(0, len(new), 5000):
-            some = new[start : start + 5000]
-            ids = self._whole(" ".join(some))
-            cuts = np.flatnonzero(self.word_ends[ids]) + 1
-            if len(cuts) != len(some):  # not separable after all
-                found = self.library.encode_batch_fast(some, add_special_tokens=False)
-                self.words |= {w: np.array(e.ids, np.uint32).tobytes()
-                               for w, e in zip(some, found, strict=True)}
-                continue
-            data, at = ids.astype(np.uint32).tobytes(), 0
-            for word, cut in zip(some, (4 * cuts).tolist(), strict=True):
-                self.words[word] = data[at:cut]
-                at = cut
-
 
 _ENCODERS: dict[str, Encoder] = {}
 
