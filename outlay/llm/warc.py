@@ -7,13 +7,14 @@ import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outlay.llm import binary_files
-from outlay.llm.common import arrow_rows, staged, text_of
+from outlay.llm.common import arrow_rows, measured, staged, text_of
 from outlay.sources.scratch import new_table_path
 
 SEGMENT_BYTES = 16 * 1024  # largest block of a record; longer ones are continued in further records
@@ -89,7 +90,8 @@ def page_records(
     common = {
         "WARC-Date": DATE,
         "WARC-Target-URI": clean,
-        "X-Page-Id": page,
+        # in a header field, white space and other signs of an id that is text are escaped
+        "X-Page-Id": None if page is None else quote(str(page), safe="-"),
         "WARC-Payload-Digest": f"sha1:{digest(payload)}",
         "Content-Type": "application/http; msgtype=response",
     }
@@ -149,31 +151,46 @@ def write_pages(
     A null html is an empty payload. Of pages with equal payloads of at least ``min_revisit`` bytes,
     the one with the smallest id becomes a response, the others revisits of it. A page without id is
     always a response, nothing refers to it; rows that repeat an id are written as often as they
-    occur. Other columns are ignored.
+    occur. Other columns are ignored. Ids may be of any type.
+
+    Pages are told apart by ids and hashes; what these say is sent to all tasks where it is small, so
+    that the pages themselves are read and written, and shuffled only if there are too many revisits.
     """
     table = pages.select("page_id", F.col("url").cast("string").alias("url"),
                          text_of("html").alias("html"))
     table = table.withColumn("sha", F.sha1("html"))
-    # numbers that stay as they are, for rows that share an id or have none
-    table = staged(table.withColumn("row", F.monotonically_increasing_id()), "pages")
-    size = F.octet_length("html")
+    keys = staged(table.select("page_id", "sha", F.octet_length("html").alias("size")), "keys")
+    repeated = staged(
+        keys.where("page_id is not null").groupBy("page_id").count().where("count > 1").select("page_id"),
+        "repeated",
+    )
+    # Only rows that share an id or have none need a number, which must stay as it is.
+    shared = table.join(measured(repeated), "page_id", "left_semi").unionByName(table.where("page_id is null"))
+    numbered = staged(shared.withColumn("row", F.monotonically_increasing_id() + 1), "numbered")
+    plain = lambda rows: rows.where("page_id is not null").join(
+        measured(repeated), "page_id", "left_anti"
+    ).withColumn("row", F.lit(0).cast("bigint"))
+    large = F.col("size") >= min_revisit
+    ids = plain(keys).where(large).select("page_id", "sha", "row").unionByName(
+        numbered.withColumn("size", F.octet_length("html")).where(large & F.col("page_id").isNotNull())
+        .select("page_id", "sha", "row")
+    )
     firsts = staged(
-        table.where((size >= min_revisit) & F.col("page_id").isNotNull())
-        .groupBy("sha")
+        ids.groupBy("sha")
         .agg(F.min(F.struct("page_id", "row")).alias("first"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
         .select("sha", F.col("first.page_id").alias("first"), F.col("first.row").alias("first_row")),
         "firsts",
     )
     again = staged(
-        table.where((size >= min_revisit) & F.col("page_id").isNotNull())
-        .select("page_id", "sha")
+        ids.select("page_id", "sha")
         .join(firsts.hint("merge"), "sha")
         .where("page_id <> first")
         .distinct(),
         "revisits",
     )
-    known = table.join(again.hint("merge"), ["page_id", "sha"], "left")
+    rows = plain(table).unionByName(numbered.select(*table.columns, "row"))
+    known = rows.join(measured(again), ["page_id", "sha"], "left")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_rows(batches, ROWS_AT_ONCE):
@@ -228,7 +245,8 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             origin = fields.get("warc-segment-origin-id", own) if number else None
             if "warc-segment-total-length" in fields:
                 total = int(fields["warc-segment-total-length"])
-            row = [own, kind, fields.get("x-page-id"), fields.get("warc-refers-to"), declared,
+            page = fields.get("x-page-id")
+            row = [own, kind, None if page is None else unquote(page), fields.get("warc-refers-to"), declared,
                    origin, int(number) if number else None, total]
             if kind == "response" and not number:
                 payload = payload_of(block, declared)

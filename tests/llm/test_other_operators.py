@@ -60,6 +60,14 @@ def test_pages_through_archives(spark):
     assert warc.through_archives(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_page_ids_that_are_text(spark):
+    ids = [" a b ", "a\r\nWARC-Type: revisit", "%41", "A", "", "ü:", "a" * 300]
+    pages = spark.createDataFrame([(x, "u", "same", "", "") for x in ids], PAGES.replace("bigint", "string", 1))
+    got = warc.through_archives(pages).collect()
+    assert sorted(r.page_id for r in got) == sorted(ids)
+    assert {r.refers_to for r in got if r.page_id != ""} == {""}
+
+
 def test_short_payloads_are_not_revisited(spark):
     pages = spark.createDataFrame([(1, "u", "ab", "", ""), (2, "u", "ab", "", "")], PAGES)
     kinds = [r.record_type for r in warc.through_archives(pages, min_revisit=3).collect()]
