@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from outlay.functions.values import is_close, is_finite, unparsed
 from outlay.sources.files import MALFORMED
 from outlay.operators.joins import left_lookup
-from outlay.sources.schemas import BASE_CURRENCY, EXTRACTION_KEY, REQUIRED
+from outlay.sources.schemas import BASE_CURRENCY, EXTRACTION_KEY, REQUIRED, SPEND_KEY
 from outlay.sources.scratch import new_table_path, staged
 
 OFFENDERS = 5  # values named for each failed check, at most
@@ -145,6 +145,22 @@ def total_report(priced_rows: DataFrame, audit: DataFrame) -> DataFrame:
     return _unpivot(counted, {"spend_total_matches_rows": "n"})
 
 
+def groups_report(priced_rows: DataFrame, audit: DataFrame) -> DataFrame:
+    """One check (check, passed, n_bad): every group's spend against that of its cost rows.
+
+    A wrong group of a few euros does not show in a total of billions. Groups that only one side has
+    are wrong; a group without any rate has no spend (or 0) on either side. Both sides are a row per
+    group when they meet; NULL keys are keys like any other.
+    """
+    rows = priced_rows.groupBy(*SPEND_KEY).agg(F.sum("cost_eur").alias("_by_rows"))
+    rows = rows.select(*[F.col(c).alias(f"_r_{c}") for c in SPEND_KEY], "_by_rows", F.lit(True).alias("_in_rows"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in SPEND_KEY])
+    met = audit.select(*SPEND_KEY, "total_spend_eur", F.lit(True).alias("_in_audit")).join(rows, same, "full_outer")
+    close = is_close(F.coalesce("total_spend_eur", F.lit(0.0)), F.coalesce("_by_rows", F.lit(0.0)))
+    bad = F.col("_in_rows").isNull() | F.col("_in_audit").isNull() | ~close
+    return _unpivot(met.agg(_count_if(bad, "n")), {"spend_groups_match_rows": "n"})
+
+
 def missing_columns(df: DataFrame, table: str) -> list[str]:
     return [name for name in REQUIRED[table] if name not in df.columns]
 

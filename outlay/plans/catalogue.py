@@ -344,6 +344,19 @@ def dq_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.total_report(cost_eur(spark, sf_dir), _audit(spark, sf_dir))
 
 
+def dq_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every group's spend against that of its rows, in an audit that is spoilt in some places."""
+    audit = _audit(spark, sf_dir)
+    spoilt = F.when(F.col("total_metrics_cost") % 3 == 0, F.col("total_spend_eur") + 1e5)
+    rows = with_accounts(
+        latest_costs(tables.costs(spark, sf_dir)), tables.accounts(spark, sf_dir)
+    )
+    priced = fx.with_cost_eur(fx.with_first_rate(rows, tables.rates(spark, sf_dir)))
+    return quality.groups_report(
+        priced, audit.withColumn("total_spend_eur", F.coalesce(spoilt, F.col("total_spend_eur")))
+    )
+
+
 def dq_eur_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups in EUR whose rate is not 1, in an audit whose EUR rates are spoilt in some places."""
     audit = _audit(spark, sf_dir)
@@ -447,6 +460,7 @@ def queries() -> dict[str, Query]:
         "dq_report": dq_report,
         "dq_single_currency": dq_single_currency,
         "dq_total": dq_total,
+        "dq_groups": dq_groups,
         "spend_text_cents": spend_text_cents,
         "keep_latest_hourly": keep_latest_hourly,
         "spend_decimal_costs": spend_decimal_costs,

@@ -87,10 +87,16 @@ def run(
         typed(raw_accounts, ACCOUNTS),
         typed(raw_rates, RATES, keep=(ORDINAL,)),
     )
-    audit = _in_days(spend_audit(*inputs, options).checkpoint(), days_as)
+    spend = spend_audit(*inputs, options).checkpoint()
+    audit = _in_days(spend, days_as)
+    # One pass over the rows, a row per group, for the check of every group and of the total.
+    by_rows = staged(
+        _row_by_row(*inputs, options).groupBy(*SPEND_KEY).agg(F.sum("cost_eur").alias("cost_eur")), "by-rows"
+    )
     after = (
         quality.output_report(audit)
-        .unionByName(quality.total_report(_row_by_row(*inputs, options), audit))
+        .unionByName(quality.total_report(by_rows, audit))
+        .unionByName(quality.groups_report(by_rows, spend))
         .checkpoint()
     )
     if gate:

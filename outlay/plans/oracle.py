@@ -327,6 +327,12 @@ _SELECTS = {
         from (select sum(metrics_cost_micros / rate) as by_rows from priced) p,
              (select sum(total_spend_eur) as total from audit) a
         where abs(total - by_rows) <= 1e-8 + 1e-5 * abs(by_rows)""",
+    "dq_groups": """
+        select 'spend_groups_match_rows' as "check", count(*) = 0 as passed, count(*) as n_bad
+        from (select total_spend_eur as by_rows,
+                     total_spend_eur + case when total_metrics_cost % 3 = 0 then 1e5 else 0 end as total
+              from audit)
+        where abs(total - by_rows) > 1e-8 + 1e-5 * abs(by_rows)""",
     "spend_text_cents": """
         select src_ord, eighths / 8.0::double as amount,
                (cents // 100)::varchar || '.' || lpad((cents % 100)::varchar, 2, '0') as amount_text

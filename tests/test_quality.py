@@ -187,3 +187,19 @@ def test_counts_taken_while_writing_are_the_same(spark, tmp_path):
     assert checks(quality.input_report(written, known, quotes, seen)) == checks(
         quality.input_report(df, known, quotes)
     )
+
+
+def test_one_wrong_group_shows(spark):
+    key = "segments_date date, domain string, brand string, channel_type string"
+    day = costs(spark, (1, "1", "x", 1)).first().segments_date
+    one, two = (day, "a", None, "on"), (day, "b", "c", "on")
+    priced = spark.createDataFrame([(*one, 1e12), (*one, 5.0), (*two, 7.0), (*two, None)], f"{key}, cost_eur double")
+
+    def n_bad(*groups):
+        audit = spark.createDataFrame(groups, f"{key}, total_spend_eur double")
+        return quality.groups_report(priced, audit).first().n_bad
+
+    assert n_bad((*one, 1e12 + 5), (*two, 7.0)) == 0
+    assert n_bad((*one, 1e12 + 5), (*two, 9.0)) == 1
+    assert n_bad((*one, 1e12 + 5)) == 1 and n_bad((*one, 1e12 + 5), (*two, None)) == 1
+    assert n_bad((*one, 1e12 + 5), (*two, 7.0), (None, "z", "z", "z", None)) == 1
