@@ -22,8 +22,9 @@ COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 ESCAPE = 15
 BLOCK = 512  # ids a block; blocks are what is decoded side by side
-MAGIC = b"S8B1"
-HEAD = struct.Struct("<4sIIQQQ")  # magic, partition, record in it, documents, ids, words
+MAGIC = b"S8B2"
+# magic, partition, record in it, documents, those of them without an id (the first), ids, words
+HEAD = struct.Struct("<4sIIQQQQ")
 RECORD_IDS = 1 << 17  # ids after which a record ends; a document is never split
 RECORDS_PER_FILE = 16
 ROWS_AT_ONCE = 256
@@ -132,14 +133,20 @@ def decode(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
     return out[:, :BLOCK].reshape(-1)[:n]
 
 
-def record(part: int, number: int, keys: list[int], ids: list[np.ndarray]) -> bytes:
-    """One record: head, document ids, their counts, words, block offsets, without the last byte."""
+def record(part: int, number: int, keys: list[int | None], ids: list[np.ndarray]) -> bytes:
+    """One record: head, document ids, their counts, words, block offsets, without the last byte.
+
+    Documents without an id come first; the head says how many they are.
+    """
+    unnamed = sum(key is None for key in keys)
+    if any(key is None for key in keys[unnamed:]):
+        raise ValueError("documents without an id come first")
     flat = np.concatenate(ids).astype(np.uint64)
     words, offsets = encode(flat)
     return b"".join(
         [
-            HEAD.pack(MAGIC, part, number, len(keys), len(flat), len(words)),
-            np.array(keys, "<i8").tobytes(),
+            HEAD.pack(MAGIC, part, number, len(keys), unnamed, len(flat), len(words)),
+            np.array([0] * unnamed + keys[unnamed:], "<i8").tobytes(),
             np.array([len(x) for x in ids], "<u4").tobytes(),
             words.astype("<u8").tobytes(),
             offsets.astype("<u4").tobytes(),
@@ -147,11 +154,11 @@ def record(part: int, number: int, keys: list[int], ids: list[np.ndarray]) -> by
     )
 
 
-def records(content: bytes) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+def records(content: bytes) -> Iterator[tuple[int, int, pa.Array, np.ndarray, np.ndarray]]:
     """Partition, number, document ids, counts and all ids of every record of a file."""
     at = 0
     while at < len(content):
-        magic, part, number, docs, n, n_words = HEAD.unpack_from(content, at)
+        magic, part, number, docs, unnamed, n, n_words = HEAD.unpack_from(content, at)
         if magic != MAGIC:
             raise ValueError(f"no record at {at}")
         at += HEAD.size
@@ -164,7 +171,8 @@ def records(content: bytes) -> Iterator[tuple[int, int, np.ndarray, np.ndarray,
         if content[at : at + 1] != binary_files.END:
             raise ValueError("record of another length than announced")
         at += 1
-        yield part, number, keys, counts, decode(words, offsets, n)
+        named = pa.array(keys, mask=np.arange(docs) < unnamed)
+        yield part, number, named, counts, decode(words, offsets, n)
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
@@ -173,8 +181,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
 
     Documents are sorted into ranges of ids (repeated ids by their texts); a range is a partition,
     whose number its records carry, so the order holds across files whatever their names. A null
-    text has only the end id. ``doc_id`` must not be null: the format has no place for it, and such
-    a row raises.
+    text has only the end id. Documents without ``doc_id`` come before all others, by their texts.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        text_of("text").alias("text"))
@@ -188,8 +195,6 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
         keys, ids, held = [], [], 0
         tokens = encoder(tokenizer)
         for batch in arrow_rows(batches, ROWS_AT_ONCE):
-            if batch.column("doc_id").null_count:
-                raise ValueError("a document without doc_id cannot be written")
             found = tokens.ids(batch.column("text").to_pylist())
             for key, x in zip(batch.column("doc_id").to_pylist(), found, strict=True):
                 keys.append(key)
@@ -223,7 +228,7 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size = len(keys)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(size, part, np.int32)), pa.array(np.full(size, number, np.int32)),
-                 pa.array(keys), pa.array(starts), pa.array(counts), pa.array(crcs, pa.int64())],
+                 keys, pa.array(starts), pa.array(counts), pa.array(crcs, pa.int64())],
                 ["part", "number", "doc_id", "before", "n_tokens", "ids_crc32"],
             )
 

@@ -193,16 +193,16 @@ def test_simple8b_round_trip(ids):
 
 
 def test_ids_through_files(spark):
-    rows = [(i, t) for i, t in CORPUS if i is not None][:-2] + list(enumerate(ODD, 1000))
+    rows = [(i, t) for i, t in CORPUS if i is not None][:-2] + list(enumerate(ODD, 1000)) + [(None, "x y")]
     path = public_tokenizers.path("word_bpe_49k.json")
-    got = sorted(simple8b.through_files(table(spark, rows), path, 2).collect())
+    got = sorted(simple8b.through_files(table(spark, rows), path, 2).collect(), key=lambda r: r.start)
     library, start = Encoder(path).library, 0
-    for (i, t), r in zip(sorted(rows), got, strict=True):
+    for (i, t), r in zip(sorted(rows, key=lambda x: (x[0] is not None, x)), got, strict=True):
         ids = np.array([*library.encode(t or "", add_special_tokens=False).ids, 2], "<u4")
         assert tuple(r) == (i, start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
-    with pytest.raises(Exception, match="without doc_id"):
-        simple8b.through_files(table(spark, [(None, "x")]), path, 2).collect()
+    alone = simple8b.through_files(table(spark, [(None, "x"), (None, None)]), path, 2).collect()
+    assert sorted((r.doc_id, r.start, r.n_tokens) for r in alone) == [(None, 0, 1), (None, 1, 2)]
 
 
 def test_windows_are_as_full_as_can_be():
