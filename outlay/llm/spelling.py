@@ -184,16 +184,16 @@ def near_words(words: DataFrame) -> DataFrame:
     pair in both directions: ``word``, ``n``, ``near``, ``near_n``."""
     frequent = frequent_grams(words)
     shared = words.sparkSession.sparkContext.broadcast(frequent)
-    schema = "word string, n bigint, length int, tier int, gram string, at int, void boolean"
+    schema = "word string, length int, tier int, gram string, at int, void boolean"
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         names = [x.split()[0] for x in schema.split(", ")]
-        kinds = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.bool_()]
+        kinds = [pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.bool_()]
         for batch in arrow_rows(batches, 2000):
             out = [
-                (word, n, len(word), *entry)
-                for word, n in zip(*(batch.column(c).to_pylist() for c in ("word", "n")), strict=True)
+                (word, len(word), *entry)
+                for word in batch.column("word").to_pylist()
                 for entry in index_entries(word, known)
             ]
             columns = list(zip(*out, strict=True)) or [[]] * len(names)
@@ -201,7 +201,7 @@ def near_words(words: DataFrame) -> DataFrame:
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names
             )
 
-    index = staged(words.select("word", "n").mapInArrow(entries, schema), "entries")
+    index = staged(words.select("word").mapInArrow(entries, schema), "entries")
     shared.destroy()
     # A list has the words with a gram at a place, by length. A replaced letter leaves places as they
     # are, an added one moves those behind it by one. So the word of a pair that is shorter, or first
@@ -216,38 +216,45 @@ def near_words(words: DataFrame) -> DataFrame:
         F.struct(F.lit(BEHIND).alias("case"), "at", (F.col("length") - 1).alias("length")),
         F.struct(F.lit(BEFORE).alias("case"), (F.col("at") - 1).alias("at"), (F.col("length") - 1).alias("length")),
     )
-    shifted = index.select("word", "n", "void", "tier", "gram", F.explode(places).alias("place")).select(
-        "word", "n", "void", "tier", "gram", "place.case", "place.at", "place.length"
+    shifted = index.select("word", "void", "tier", "gram", F.explode(places).alias("place")).select(
+        "word", "void", "tier", "gram", "place.case", "place.at", "place.length"
     )
     lists = measured(crowded)
     half = F.floor(F.col("length") / 2).cast("int")
 
-    def met(rows: DataFrame) -> DataFrame:
-        """Entries by what they meet under, with hashes of the word's halves."""
+    def met(rows: DataFrame, word: str, marks: str) -> DataFrame:
+        """Entries by what they meet under: the word and, in one number, 24 bits of a hash of each of
+        its halves, whether it is the longer one, and whether its bound is void."""
         sides = F.transform(_sides(), lambda side: F.xxhash64("list", side))
+        bits = lambda part: F.xxhash64(part).bitwiseAND(F.lit(0xFFFFFF))
+        first, last = bits(F.left("word", half)), bits(F.right("word", F.col("length") - half))
+        longer, void = (F.col("case") != SAME).cast("bigint"), F.col("void").cast("bigint")
         return rows.select("*", number).join(lists, "list", "left").select(
             F.explode(F.when(F.col("crowded"), sides).otherwise(F.array("list"))).alias("under"),
-            "word", "n", "void", "case",
-            F.hash(F.left("word", half)).alias("first"),
-            F.hash(F.right("word", F.col("length") - half)).alias("last"),
+            F.col("word").alias(word),
+            (first + F.shiftleft(last, 24) + F.shiftleft(longer, 48) + F.shiftleft(void, 49)).alias(marks),
         )
 
-    one = met(index.withColumn("case", F.lit(SAME))).drop("case")
-    two = met(shifted).select(
-        "under", "case", F.col("word").alias("near"), F.col("n").alias("near_n"),
-        F.col("void").alias("near_void"), F.col("first").alias("near_first"), F.col("last").alias("near_last"),
-    )
-    once = (F.col("case") != SAME) | (F.col("word") < F.col("near"))
+    one = met(index.withColumn("case", F.lit(SAME)), "word", "marks")
+    two = met(shifted, "near", "near_marks")
+    other = F.col("marks").bitwiseXOR(F.col("near_marks"))
     # One edit leaves the first or the last half of the shorter word as it is.
-    halves = (F.col("first") == F.col("near_first")) | (F.col("last") == F.col("near_last"))
-    found = staged(
+    halves = (other.bitwiseAND(F.lit(0xFFFFFF)) == 0) | (other.bitwiseAND(F.lit(0xFFFFFF << 24)) == 0)
+    both_void = F.col("marks").bitwiseAND(F.col("near_marks")).bitwiseAND(F.lit(1 << 49)) != 0
+    once = (F.col("near_marks").bitwiseAND(F.lit(1 << 48)) != 0) | (F.col("word") < F.col("near"))
+    pairs = staged(
         one.join(two.hint("merge"), "under")
-        .where(halves & once & ~(F.col("void") & F.col("near_void")))
+        .where(halves & once & ~both_void)
         .where(F.levenshtein("word", "near", 1) == 1)
-        .select("word", "n", "near", "near_n")
+        .select("word", "near")
         .distinct(),
-        "near",
+        "pairs",
+    )
+    counts = words.select("word", "n")
+    found = pairs.join(counts.hint("merge"), "word").join(
+        counts.select(F.col("word").alias("near"), F.col("n").alias("near_n")).hint("merge"), "near"
     )
+    found = staged(found.select("word", "n", "near", "near_n"), "near")
     back = found.select(F.col("near").alias("word"), F.col("near_n").alias("n"),
                         F.col("word").alias("near"), F.col("n").alias("near_n"))
     return found.unionByName(back)
