@@ -18,7 +18,7 @@ from outlay.sources.scratch import new_table_path, scope
 WORDS = 5  # of a shingle
 PERCENT = 80  # Jaccard similarity of paragraphs that count as one
 BANDS, ROWS = 8, 3  # of a signature: 0.997 of all pairs at 0.8 share a band
-CROWDED = 64  # clusters in one band, from which on its paragraphs are joined by prefixes
+CROWDED = 64  # paragraphs in a band of several clusters; larger ones are joined by prefixes
 MIN_RUN = 20  # words of a passage, at least
 ROWS_AT_ONCE = 256
 PAIRS_AT_ONCE = 256
@@ -193,8 +193,8 @@ def _clusters(texts: DataFrame, bands: DataFrame) -> DataFrame:
     """Paragraphs (``node``) alike, directly or through others, with their cluster (``root``).
 
     In each band every paragraph is compared with the smallest one first. Bands that still hold
-    several clusters are joined with themselves, but for those of more than ``CROWDED`` clusters:
-    their paragraphs are joined by :func:`ngram_join.linked_sets`, which misses no pair.
+    several clusters are joined with themselves, but for those of more than ``CROWDED`` paragraphs:
+    these are joined by :func:`ngram_join.linked_sets`, which misses no pair.
     """
     leaders = bands.groupBy("key").agg(F.min("cls").alias("b"))
     stars = staged(
@@ -209,11 +209,10 @@ def _clusters(texts: DataFrame, bands: DataFrame) -> DataFrame:
         .select("key", "cls", F.coalesce("root", "cls").alias("root")),
         "placed",
     )
-    # a cluster once for each band and member; hot bands shrink before they are counted
-    counts = placed.groupBy("key", "root").agg(F.lit(1).alias("one")).groupBy("key").agg(
-        F.count("one").alias("n")
+    counts = placed.groupBy("key").agg(
+        F.count("cls").alias("n"), F.min("root").alias("least"), F.max("root").alias("most")
     )
-    open_bands = staged(counts.where("n > 1"), "open-bands")
+    open_bands = staged(counts.where("least <> most").select("key", "n"), "open-bands")
     few = placed.join(open_bands.where(F.col("n") <= CROWDED).hint("merge"), "key").drop("n")
     few = staged(few, "few")
     sides = [few.select("key", *[F.col(c).alias(s + c) for c in ("cls", "root")]) for s in "ab"]
