@@ -372,57 +372,99 @@ SPANS = (
 )
 
 
-def _joined(runs: list[tuple]) -> list[list]:
-    """Runs of words that touch, as one, with the cluster and the copy of the first."""
-    out: list[list] = []
-    for a, b, cluster, keep in sorted(runs):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b, cluster, keep])
-    return out
-
-
-def _runs(row: dict, n: int) -> tuple[list[list], list[list]]:
-    """The passages of a document of ``n`` words, by words: those that go and those that stay."""
-    gone, stay = [], []
-    if row["copy"]:
-        return [[0, n, row["_text"], row["head"]]], stay
-    for x in row["ranges"] or ():
-        if x["marks"] is None:
-            moved = (x["low_no"], x["low_word"]) != (row["no"], x["word"])
-            (gone if moved else stay).append((x["word"], x["word"] + x["size"], x["cluster"], x["low_no"]))
-        else:
-            for m in x["marks"]:
-                a = x["word"] + m["k"]
-                moved = (m["no"], m["word"]) != (row["no"], a)
-                (gone if moved else stay).append((a, a + MIN_RUN, m["value"], m["no"]))
-    gone = _joined(gone)
-    if row["copied"]:  # all windows occur again; those that do not go stay
-        ends = [0, *(max(0, g[1] - MIN_RUN + 1) for g in gone)]
-        heads = [*(min(n, g[0] + MIN_RUN - 1) for g in gone), n]
-        stay += [(a, b, row["_text"], row["no"]) for a, b in zip(ends, heads, strict=True) if b > a]
-    return gone, _joined(stay)
+class Runs:
+    """Runs of words of the documents of a batch (``doc``: row in it), with the cluster and the kept
+    copy of each."""
+
+    def __init__(self, doc: np.ndarray, a: np.ndarray, b: np.ndarray, cluster: np.ndarray, keep: np.ndarray):
+        self.columns = [np.asarray(x, np.int64) for x in (doc, a, b, cluster, keep)]
+
+    def where(self, chosen: np.ndarray) -> Runs:
+        return Runs(*[x[chosen] for x in self.columns])
+
+    def plus(self, other: Runs) -> Runs:
+        return Runs(*[np.concatenate(x) for x in zip(self.columns, other.columns, strict=True)])
+
+    def joined(self) -> Runs:
+        """In order, those that touch as one, with the cluster and the copy of the first."""
+        runs = self.where(np.lexsort(self.columns[::-1]))
+        doc, a, b, cluster, keep = runs.columns
+        if not len(doc):
+            return runs
+        apart = doc * (b.max() + 2)  # runs of two documents never touch
+        ends = np.maximum.accumulate(b + apart)
+        new = np.append(True, a[1:] + apart[1:] > ends[:-1])
+        last = np.append(new[1:], True)
+        return Runs(doc[new], a[new], (ends - apart)[last], cluster[new], keep[new])
+
+    def between(self, docs: np.ndarray, sizes: np.ndarray, cluster: np.ndarray, no: np.ndarray) -> Runs:
+        """What the windows of ``docs`` (of ``sizes`` words) cover that are not whole inside these
+        runs, which are joined."""
+        gone = self.where(np.isin(self.columns[0], docs))
+        doc, a, b = gone.columns[:3]
+        of = np.concatenate((docs, doc))
+        size = dict(zip(docs.tolist(), sizes.tolist(), strict=True))
+        n = np.array([size[d] for d in doc.tolist()], np.int64)
+        firsts = np.concatenate((np.zeros(len(docs), np.int64), np.maximum(0, b - MIN_RUN + 1)))
+        lasts = np.concatenate((sizes, np.minimum(n, a + MIN_RUN - 1)))
+        order = np.lexsort((firsts, of))
+        firsts, lasts, of = firsts[order], lasts[np.lexsort((lasts, of))], of[order]
+        at = np.searchsorted(docs, of)
+        return Runs(of, firsts, lasts, cluster[at], no[at]).where(lasts - firsts >= MIN_RUN)
+
+
+def _passages(batch: pa.RecordBatch, sizes: np.ndarray) -> tuple[Runs, Runs]:
+    """The passages of documents of ``sizes`` words: those that go and those that stay."""
+
+    def numbers(column: pa.Array) -> np.ndarray:
+        return np.asarray(column.fill_null(-1), np.int64)
+
+    def owners(lists: pa.Array) -> np.ndarray:
+        return np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths().fill_null(0)))
+
+    text, no, head = (numbers(batch.column(c)) for c in ("_text", "no", "head"))
+    copy, copied = (np.asarray(batch.column(c).fill_null(False)) for c in ("copy", "copied"))
+    ranges = batch.column("ranges")
+    doc, flat = owners(ranges), ranges.flatten()
+    word, size, cluster, low_no, low_word = (
+        numbers(flat.field(c)) for c in ("word", "size", "cluster", "low_no", "low_word")
+    )
+    moved = (low_no != no[doc]) | (low_word != word)
+    whole = np.asarray(flat.field("marks").is_null())
+    runs, gone = Runs(doc, word, word + size, cluster, low_no).where(whole), moved[whole]
+    at, marks = owners(flat.field("marks")), flat.field("marks").flatten()
+    k, value, keep, place = (numbers(marks.field(c)) for c in ("k", "value", "no", "word"))
+    first = word[at] + k
+    runs = runs.plus(Runs(doc[at], first, first + MIN_RUN, value, keep))
+    gone = np.concatenate((gone, (keep != no[doc[at]]) | (place != first)))
+    gone, stay = runs.where(gone).joined(), runs.where(~gone)
+    # of a text with copies all windows occur again; those that do not go stay
+    docs = np.flatnonzero(copied & ~copy)
+    stay = stay.plus(gone.between(docs, sizes[docs], text[docs], no[docs]))
+    docs = np.flatnonzero(copy)
+    gone = gone.plus(Runs(docs, np.zeros(len(docs)), sizes[docs], text[docs], head[docs]))
+    return gone, stay.joined()
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ranges of words of one document, all removed or all kept, that touch, as spans of bytes."""
     names = [x.split()[0] for x in SPANS.split(", ")]
-    kinds = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(),
-             pa.int64(), pa.int64()]
     for batch in arrow_rows(batches, ROWS_AT_ONCE):
-        out = []
-        for row in batch.to_pylist():
-            _, _, start, end, _ = word_hashes([row["text"]])
-            for removed, runs in zip((True, False), _runs(row, len(start)), strict=True):
-                for a, b, cluster, keep in runs:
-                    if b - a >= MIN_RUN:
-                        out.append((row["_id"], row["_text"], int(start[a]), int(end[b - 1]), b - a,
-                                    removed, cluster, keep))
-        columns = list(zip(*out, strict=True)) or [[]] * len(names)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names
-        )
+        _, owner, start, end, _ = word_hashes(batch.column("text").to_pylist())
+        sizes = np.bincount(owner, minlength=batch.num_rows)
+        firsts = np.cumsum(sizes) - sizes
+        for removed, runs in zip((True, False), _passages(batch, sizes), strict=True):
+            doc, a, b, *_ = runs.columns
+            doc, a, b, cluster, keep = runs.where(b - a >= MIN_RUN).columns
+            rows = pa.array(doc)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_id").take(rows), batch.column("_text").take(rows),
+                 pa.array(start[firsts[doc] + a].astype(np.int32)),
+                 pa.array(end[firsts[doc] + b - 1].astype(np.int32)),
+                 pa.array((b - a).astype(np.int32)), pa.array(np.full(len(doc), removed)),
+                 pa.array(cluster), pa.array(keep)],
+                names,
+            )
 
 
 def _alone(ranges: Callable[..., DataFrame], table: DataFrame, *more) -> DataFrame:  # noqa: ANN002
