@@ -225,20 +225,17 @@ def linked_sets(table: DataFrame, k: int, percent: int) -> tuple[DataFrame, Data
         .select("ag", "bg")
         .distinct()
     )
-    one = members.select(F.col("g").alias("ag"), F.col("cls").alias("a"))
-    two = members.select(F.col("g").alias("bg"), F.col("cls").alias("b"))
-    crowded = members.groupBy("g").count().where("count > 1").select("g")
-    inside = members.join(crowded.hint("merge"), "g", "left_semi")
-    inner = inside.select("g", F.col("cls").alias("a")).join(
-        inside.select("g", F.col("cls").alias("b")).hint("merge"), "g"
+    # Groups meet by one member each: all of one with the first of the other, and in a group all with
+    # its first. What that leaves apart meets in the third step.
+    firsts = members.groupBy("g").agg(F.min("cls").alias("b"), F.count("cls").alias("size"), F.first("n").alias("n"))
+    firsts = staged(firsts, "firsts")
+    crowded = firsts.where("size > 1")
+    outer = stars.join(members.select(F.col("g").alias("ag"), F.col("cls").alias("a")).hint("merge"), "ag").join(
+        firsts.select(F.col("g").alias("bg"), "b").hint("merge"), "bg"
     )
+    inner = members.select("g", F.col("cls").alias("a")).join(crowded.select("g", "b").hint("merge"), "g")
     pairs = staged(
-        stars.join(one.hint("merge"), "ag")
-        .join(two.hint("merge"), "bg")
-        .select("a", "b")
-        .unionByName(inner.where("a < b").select("a", "b"))
-        .distinct(),
-        "pairs",
+        outer.select("a", "b").unionByName(inner.where("a <> b").select("a", "b")).distinct(), "pairs"
     )
 
     def texts_for(some_pairs: DataFrame) -> DataFrame:
@@ -262,7 +259,9 @@ def linked_sets(table: DataFrame, k: int, percent: int) -> tuple[DataFrame, Data
     placed = members.join(roots.withColumnRenamed("node", "cls").hint("merge"), "cls", "left").select(
         "g", "cls", F.coalesce("root", "cls").alias("root")
     )
-    spread = buckets.join(placed.hint("merge"), "g")
+    # members of a group have their whole prefix in common: a bucket of its own
+    own = crowded.select("g", "n", F.lit(0).alias("pos"), F.col("g").alias("token"))
+    spread = buckets.unionByName(own).join(placed.hint("merge"), "g")
     open_tokens = staged(
         spread.groupBy("token")
         .agg(F.min("root").alias("low"), F.max("root").alias("high"))
@@ -320,11 +319,13 @@ def similar_groups(
     2. Sets of equal size and prefix are one group; groups meet in the buckets of their prefix
        shingles. In each bucket, every group is first paired with one leader only: that in which
        the shingle comes first, the one with the fewest shingles of its own, such as the original
-       of many copies. Pairs that sizes and places rule out are left out, the others are expanded
-       to their members and verified on the texts.
-    3. Members of one component need no further comparison. Only buckets that still hold several
-       components are joined with themselves, again without pairs that sizes and places rule out,
-       and verified. No link between components is lost, and no group is written out as all pairs.
+       of many copies. Pairs that sizes and places rule out are left out; of the others, all members
+       of the group are verified, on their texts, against one member of the leader. Members of one
+       group are verified against its first.
+    3. Members of one component need no further comparison. Only buckets (a group counts as one)
+       that still hold several components are joined with themselves, again without pairs that
+       sizes and places rule out or of one component, and verified. No link between components is
+       lost; what is written as pairs are sets that share a prefix shingle and are still apart.
     """
     rows, roots = linked_sets(
         docs.select(*same_row(key), text_of("text").alias("text")), k, percent

@@ -361,3 +361,26 @@ def test_more_frequent_shingles_than_fit_cost_no_link(spark, monkeypatch):
     got = ngram_join.similar_groups(table(spark, rows)).collect()
     assert len(first[0][0]) and not len(first[1][0])
     assert {r.doc_id: r.component_id for r in got} == {i: i % 100 for i, _ in rows}
+
+
+def test_members_of_one_group_are_not_written_as_all_pairs(spark, monkeypatch):
+    """Texts alike in their first shingles by hash, linked only through each other or not at all."""
+    words = noise(400, 5, 10**6).split()
+    rows = [(i, " ".join([*words[:300], *noise(1 + i % 7, 900 + i, 10**6).split(), *words[300:]])) for i in range(60)]
+    rows += [(100 + i, " ".join(words[40 * (i % 4) : 40 * (i % 4) + 240])) for i in range(20)]
+    written = []
+    verify = ngram_join._linked
+
+    def counted(pairs, *more):
+        written.append(pairs.count())
+        return verify(pairs, *more)
+
+    monkeypatch.setattr(ngram_join, "_linked", counted)
+    got = ngram_join.similar_groups(table(spark, rows), 5, 80).collect()
+    roots, sets = _components(rows, 5, 80)
+    least = {}
+    for (i, _), root in zip(rows, roots, strict=True):
+        least[root] = min(i, least.get(root, i))
+    want = {i: (len(s), least[root]) for (i, _), root, s in zip(rows, roots, sets, strict=True)}
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    assert written[0] < 60 * 59 // 2
