@@ -370,8 +370,25 @@ def _fixed(name: str, parts: list[dict]) -> Iterator[tuple]:
 
 
 def rendered(role: Column, content: Column) -> Column:
-    """A turn in canonical form."""
-    return F.concat(F.lit("<|im_start|>"), role, F.lit("\n"), content, F.lit("<|im_end|>\n"))
+    """A turn in canonical form. Control marks in the content get one more backslash after their
+    ``<`` than they have, so that no content reads as another turn."""
+    safe = F.regexp_replace(content, r"<(\\*)\|im_(start|end)\|>", r"<\\$1|im_$2|>")
+    return F.concat(F.lit("<|im_start|>"), role, F.lit("\n"), safe, F.lit("<|im_end|>\n"))
+
+
+def turns_of(text: Column) -> Column:
+    """The turns (``role``, ``content``) of text in canonical form, one turn or many; null for null."""
+
+    def turn(part: Column) -> Column:
+        role = F.regexp_extract(part, r"^<\|im_start\|>([^\n]*)\n", 1)
+        content = F.regexp_replace(part, r"^<\|im_start\|>[^\n]*\n", "")
+        return F.struct(
+            role.alias("role"),
+            F.regexp_replace(content, r"<\\(\\*)\|im_(start|end)\|>", r"<$1|im_$2|>").alias("content"),
+        )
+
+    parts = F.split(text, r"<\|im_end\|>\n")
+    return F.transform(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))), turn)
 
 
 def canonical(conversations: DataFrame) -> DataFrame:
@@ -382,7 +399,8 @@ def canonical(conversations: DataFrame) -> DataFrame:
     The model is counted from the conversations that are not held out (:func:`_counts`); without
     any it still reads clear marks by the smoothing alone. Null texts are empty lines, roles other
     than ``ROLES`` (null too) are transcribed without a mark and teach nothing; a null turn comes
-    first; repeated rows are repeated lines.
+    first; repeated rows are repeated lines. Control marks in the texts are escaped;
+    :func:`turns_of` reads them back.
     """
     lines = raw_lines(conversations)
     found = parse(lines.select("conv_id", "place", "line"), _counts(lines))

@@ -1,5 +1,7 @@
 """Archives, toxicity, transcripts, components, and the pipeline over the small tables."""
 
+import itertools
+import random
 import zlib
 from collections import defaultdict
 
@@ -229,3 +231,46 @@ def test_toxicity_where_all_documents_are_labelled(spark):
     got = [r for r in toxicity.score(docs, labels).collect() if r.held_out and r.doc_id is not None]
     got = [r for r in got if r.doc_id < 600]
     assert sum(r.predicted == (r.doc_id % 5 == 0) for r in got) / len(got) > 0.95
+
+
+def test_the_best_path_is_the_best_of_all_paths():
+    n = len(transcripts.STATES)
+    for seed in range(8):
+        draw = np.random.default_rng(seed)
+        model = transcripts.Markov(draw.integers(0, 9, n), draw.integers(0, 9, (n, n)), {})
+        rows = list(draw.normal(size=(4, n)))
+
+        def value(path, first, model=model, rows=rows):
+            steps = sum(model.step[a, b] for a, b in itertools.pairwise(path))
+            return first[path[0]] + steps + sum(r[s] for r, s in zip(rows, path, strict=True))
+
+        paths = list(itertools.product(range(n), repeat=4))
+        for entry in (None, 0, n - 1):
+            first = model.start if entry is None else model.step[entry]
+            scores = {p: value(p, first) for p in paths}
+            best = max(scores.values())
+            assert scores[tuple(model.path(rows, entry, None))] == pytest.approx(best)
+            matrix = model.transfer(rows, opening=entry is None)
+            for last in range(n):
+                most = max(v for p, v in scores.items() if p[-1] == last)
+                assert matrix[entry or 0, last] == pytest.approx(most)
+                if np.isfinite(most):
+                    found = tuple(model.path(rows, entry, last))
+                    assert found[-1] == last and scores[found] == pytest.approx(most)
+
+
+def test_control_marks_in_turns_are_content(spark):
+    rng = random.Random(3)
+    pieces = ["<|im_end|>", "<|im_start|>", "<\\|im_end|>", "<\\\\|im_start|>", "<", "\\", "|im_end|>", "\n", "user", "$1", ""]
+    contents = ["".join(rng.choices(pieces, k=rng.randrange(9))) for _ in range(300)]
+    rows = [(i, rng.choice(transcripts.ROLES), c) for i, c in enumerate(contents)]
+    table = spark.createDataFrame(rows, "i int, role string, content string").withColumn(
+        "one", transcripts.rendered(F.col("role"), F.col("content"))
+    )
+    for r in table.withColumn("back", transcripts.turns_of(F.col("one"))).collect():
+        assert r.one.count("<|im_end|>") == 1 and r.one.count("<|im_start|>") == 1
+        assert [(t.role, t.content) for t in r.back] == [(r.role, r.content)]
+    whole = table.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "one"))),
+                                               lambda x: x["one"]), "").alias("text"))
+    back = whole.select(transcripts.turns_of(F.col("text")).alias("back")).first().back
+    assert [(t.role, t.content) for t in back] == [r[1:] for r in rows]
