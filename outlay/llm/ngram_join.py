@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,7 @@ from outlay.llm.common import (
     text_of,
     without,
 )
+from outlay.llm.recurring import recurring
 from outlay.llm.shingles import shingle_sets
 
 # A shingle in more sets than this is moved to the end of the common order.
@@ -28,6 +31,8 @@ FREQUENT = 16
 MOST_FREQUENT = 1_000_000
 ROWS_AT_ONCE = 256
 PAIRS_AT_ONCE = 64
+PACKED_TOGETHER = 500_000  # shingles a task counts at a time
+BUCKET_BYTES = 16 << 20  # shingles of a bucket
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -45,6 +50,7 @@ def set_id(values: np.ndarray) -> int:
 SETS = "_id string, _text bigint, n bigint, cls bigint, prefix array<bigint>"
 
 
+PACKED = "bucket int, once binary, more binary, counts binary"
 Frequent = tuple[np.ndarray, np.ndarray]  # shingles, ascending, and the magnitude of their counts
 
 
@@ -81,11 +87,69 @@ def _prefixes(rows: DataFrame, k: int, percent: int, frequent: Frequent | None)
     return rows.select("_id", "_text", "text").mapInArrow(extract, SETS)
 
 
-def _frequent(tokens: DataFrame) -> Frequent:
-    """The shingles (``token``) that occur most, as many as every task can be told."""
+def _packed(rows: DataFrame, shingles: Callable[[pa.RecordBatch], np.ndarray], buckets: int) -> DataFrame:
+    """The distinct ``shingles`` of batches of ``rows`` and how often each occurs, as sorted arrays by
+    bucket: a row for every bucket and half a million of them or so, not one for each."""
+
+    def cut(held: list[np.ndarray]) -> pa.RecordBatch:
+        values, counts = np.unique(np.concatenate(held), return_counts=True)
+        # values are hashes: by their upper bits, buckets are even and stay in order
+        edges = (np.arange(1, buckets, dtype=object) * (1 << 64) // buckets).astype(np.uint64)
+        cuts = np.concatenate(([0], np.searchsorted(values, edges), [len(values)]))
+        full = np.flatnonzero(np.diff(cuts))
+        counts = counts.astype(np.uint32)
+        once = [counts[cuts[i] : cuts[i + 1]] == 1 for i in full]
+        parts = [values[cuts[i] : cuts[i + 1]] for i in full]
+        sizes = [counts[cuts[i] : cuts[i + 1]] for i in full]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(full.astype(np.int32)),
+             pa.array([x[o].tobytes() for x, o in zip(parts, once, strict=True)], pa.binary()),
+             pa.array([x[~o].tobytes() for x, o in zip(parts, once, strict=True)], pa.binary()),
+             pa.array([x[~o].tobytes() for x, o in zip(sizes, once, strict=True)], pa.binary())],
+            ["bucket", "once", "more", "counts"],
+        )
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in arrow_rows(batches, ROWS_AT_ONCE):
+            held.append(shingles(batch))
+            if sum(map(len, held)) >= PACKED_TOGETHER:
+                yield cut(held)
+                held = []
+        if sum(map(len, held)):
+            yield cut(held)
+
+    return rows.mapInArrow(pack, PACKED)
+
+
+def _levels(rows: Iterator[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a bucket that occur more than ``FREQUENT`` times, and the powers of two below."""
+    once, more, counts = zip(*((r["once"], r["more"], r["counts"]) for r in rows), strict=True)
+    values = np.frombuffer(b"".join((*once, *more)), np.uint64)
+    order = np.argsort(values)
+    values = values[order]
+    heads = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
+    single = sum(map(len, once)) // 8
+    sizes = np.concatenate((np.ones(single, np.int64), np.frombuffer(b"".join(counts), np.uint32)))
+    totals = np.add.reduceat(sizes[order], heads)
+    keep = totals > FREQUENT
+    return values[heads[keep]], np.frexp(totals[keep].astype(np.float64))[1] - 1
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = (row for batch in arrow_rows(batches, 16) for row in batch.to_pylist())
+    for _, bucket in groupby(rows, key=itemgetter("bucket")):
+        tokens, levels = _levels(bucket)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(tokens.view(np.int64)), pa.array(levels.astype(np.int32))], ["token", "level"]
+        )
+
+
+def _frequent(packed: DataFrame) -> Frequent:
+    """The shingles (:func:`_packed`) that occur most, as many as every task can be told."""
     counts = staged(
-        tokens.groupBy("token").count().where(F.col("count") > FREQUENT)
-        .select("token", F.floor(F.log2("count")).cast("int").alias("level")),
+        packed.repartition("bucket").sortWithinPartitions("bucket")
+        .mapInArrow(_counted, "token bigint, level int"),
         "frequent",
     )
     # by powers of two, so that what is looked at stays small whatever the counts are
@@ -123,15 +187,38 @@ def _holding(classes: DataFrame, frequent: Frequent) -> DataFrame:
     )
 
 
-def _all_shingles(rows: DataFrame, k: int) -> DataFrame:
-    """The shingles of all sets, one row for each set that has it."""
+def _prefix_shingles(classes: DataFrame, buckets: int) -> DataFrame:
+    """The shingles of all prefixes, counted in parts."""
+    return _packed(
+        classes.select("prefix"),
+        lambda batch: np.asarray(batch.column("prefix").flatten(), np.int64).view(np.uint64),
+        buckets,
+    )
 
-    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in arrow_rows(batches, ROWS_AT_ONCE):
-            for values in shingle_sets(batch.column("text").to_pylist(), k):
-                yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64))], ["token"])
 
-    return rows.select("text").mapInArrow(extract, "token bigint")
+def _all_shingles(rows: DataFrame, k: int, buckets: int) -> DataFrame:
+    """The shingles of all sets, counted in parts."""
+    return _packed(
+        rows.select("text"),
+        lambda batch: np.concatenate(shingle_sets(batch.column("text").to_pylist(), k)),
+        buckets,
+    )
+
+
+# A shingle of the prefix of a group, and where it stands there.
+PLACE = [("key", "u8"), ("g", "u8"), ("n", "u8"), ("pos", "i4")]
+
+
+def _places(batch: pa.RecordBatch) -> np.ndarray:
+    lists = batch.column("prefix")
+    sizes = np.asarray(lists.value_lengths(), np.int64)
+    ends = np.cumsum(sizes)
+    found = np.zeros(int(sizes.sum()), PLACE)
+    found["key"] = np.asarray(lists.flatten(), np.int64).view(np.uint64)
+    for name in ("g", "n"):
+        found[name] = np.repeat(np.asarray(batch.column(name), np.int64).view(np.uint64), sizes)
+    found["pos"] = np.arange(len(found)) - np.repeat(ends - sizes, sizes)
+    return found
 
 
 def _needed(n: Column, m: Column, percent: int) -> Column:
@@ -184,13 +271,15 @@ def linked_sets(table: DataFrame, k: int, percent: int) -> tuple[DataFrame, Data
         rows.where("n > 0").groupBy("cls").agg(F.first(some).alias("rep")).select("cls", "rep.*"),
         "classes",
     )
-    first = _frequent(classes.select(F.explode("prefix").alias("token")))
+    shingles = classes.agg(F.sum("n")).first()[0] or 0
+    buckets = max(8, -(-shingles * 8 // BUCKET_BYTES))
+    first = _frequent(_prefix_shingles(classes, buckets))
     if len(first[0]):
         # What is frequent in prefixes tells which sets hold shared passages; there, count all.
         def of(keys: DataFrame) -> DataFrame:
             return table.join(measured(keys, SMALL_BYTES), ["_id", "_text"], "left_semi")
 
-        frequent = _frequent(_all_shingles(of(_holding(classes, first)), k))
+        frequent = _frequent(_all_shingles(of(_holding(classes, first)), k, buckets))
         # More than every task can be told are as good as none: any order loses no link.
         if len(frequent[0]):
             redone = _prefixes(of(_holding(classes, frequent)), k, percent, frequent)
@@ -203,13 +292,10 @@ def linked_sets(table: DataFrame, k: int, percent: int) -> tuple[DataFrame, Data
         "grouped",
     )
     members = grouped.select("g", "cls", "n")
-    index = (
-        grouped.groupBy("g", "n")
-        .agg(F.first("prefix").alias("prefix"))
-        .select("g", "n", F.posexplode("prefix").alias("pos", "token"))
-    )
-    shared = index.groupBy("token").count().where("count > 1").select("token")
-    buckets = staged(index.join(staged(shared, "shared").hint("merge"), "token", "left_semi"), "buckets")
+    index = grouped.groupBy("g", "n").agg(F.first("prefix").alias("prefix"))
+    expected = shingles * (100 - percent) // 100
+    shared = recurring(index, ["g", "n", "prefix"], _places, PLACE, ["key", "g", "n"], expected)
+    buckets = staged(shared.withColumnRenamed("key", "token"), "buckets")
     leaders = staged(
         buckets.groupBy("token")
         .agg(F.min(F.struct("pos", "g", "n")).alias("lead"))

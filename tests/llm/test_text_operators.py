@@ -4,7 +4,7 @@ import hashlib
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -15,6 +15,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from outlay.llm import exact_dedup, fingerprints, ngram_join, packing, pieces, simple8b, substrings
+from outlay.llm.shingles import shingle_sets
 from outlay.llm.tokens import Encoder
 
 DOCS = "doc_id bigint, text string, lang string, _id string, kept int, cls string"
@@ -350,6 +351,19 @@ def test_every_part_of_a_text_has_its_letter():
         assert fingerprints.fingerprint(other) != fingerprints.fingerprint(text)
 
 
+def test_shingles_are_counted_in_packed_rows(spark):
+    """Not a row for every shingle: those are some hundred times the documents."""
+    passage = noise(40, 10, 10**6)
+    texts = [f"{noise(30, 100 + i, 10**6)} {passage if i < 70 else ''} {passage[:120] if i % 2 else ''}" for i in range(90)]
+    rows = table(spark, list(enumerate(texts))).select("text").repartition(3)
+    packed = ngram_join._all_shingles(rows, 5, 4)
+    assert packed.count() <= 3 * 4
+    counts = Counter(x for s in shingle_sets(texts, 5) for x in s.tolist())
+    want = {x: n.bit_length() - 1 for x, n in counts.items() if n > ngram_join.FREQUENT}
+    tokens, levels = ngram_join._frequent(packed)
+    assert want and dict(zip(tokens.tolist(), levels.tolist(), strict=True)) == want
+
+
 def test_more_frequent_shingles_than_fit_cost_no_link(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "MOST_FREQUENT", 20)
     passage = noise(40, 10, 10**6)
