@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from outlay.llm import queries, toxicity, transcripts, warc
+from outlay.llm import common, queries, toxicity, transcripts, warc
 from outlay.llm.common import components
 
 SMALL = "/root/testdata/sf0.001"
@@ -38,6 +38,21 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_components_of_stars_take_half_a_round(spark, monkeypatch):
+    written = []
+    staged = common.staged
+    monkeypatch.setattr(common, "staged", lambda df, name: written.append(name) or staged(df, name))
+    edges = [(100 * i, 100 * i + j) for i in range(5) for j in range(1, 40)]
+    got = common.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
+    assert {r.node: r.root for r in got} == {x: a for a, b in edges for x in (a, b)}
+    assert written == ["edges", "least", "large", "least"]
+    # the same where the minima are sent to nobody
+    monkeypatch.setattr(common, "FEW_ROWS", -1)
+    edges = [(i, i + 1) for i in range(9)] + [(20, 22), (21, 22), (20, 21)]
+    got = common.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
+    assert {r.node: r.root for r in got} == {**dict.fromkeys(range(10), 0), 20: 20, 21: 20, 22: 20}
+
+
 def test_pages_through_archives(spark):
     rows = [
         (1, "http://a/ b\r\nX: y", "<p>ä€</p>" * 4000, "s", "f"),
