@@ -219,6 +219,39 @@ def test_bytes_of_earlier_documents(spark, monkeypatch, crowded, batches, block)
     assert by_text(suffix_family.removal_digests(found).collect()) == by_text(cut_rows(rows))
 
 
+def test_levels_are_not_written(spark, monkeypatch):
+    written = []
+    path = suffix_family.new_table_path
+    monkeypatch.setattr(suffix_family, "new_table_path", lambda s, name: written.append(name) or path(s, name))
+    monkeypatch.setattr(suffix_family, "LEAST_BUCKETS", 3)
+    rows = repetitive(5)
+    found = suffix_family.without_repeated_bytes(frame(spark, rows))
+    assert by_text(suffix_family.removal_digests(found).collect()) == by_text(cut_rows(rows))
+    assert written == ["blocks", "texts", "found"]
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_suffix_array_of_texts_that_share_suffixes(monkeypatch, clash):
+    if clash:  # all hashes are one
+        monkeypatch.setattr(suffix_family, "mix", lambda x: np.zeros_like(x))
+    rng = np.random.default_rng(3)
+    length = suffix_family.LENGTH
+    for letters in (1, 2, 3, 20):
+        sizes = rng.integers(1, 40, 9).astype(np.int32)
+        data = rng.integers(97, 97 + letters, int((sizes + length - 1).sum())).astype(np.uint8).tobytes() * 2
+        sizes, places = np.tile(sizes, 2), rng.integers(0, 6, 18)
+        texts = suffix_family.Texts(data, sizes, places, np.zeros(18, np.uint8))
+        at, number = suffix_family.suffix_array(texts)
+        own = [data[i : i + length] for i in texts.suffixes().tolist()]
+        want = sorted(set(own))
+        assert [data[i : i + length] for i in at.tolist()] == want
+        assert [want[i] for i in number.tolist()] == own
+        least = {}
+        for s, place in zip(own, np.repeat(places, sizes).tolist(), strict=True):
+            least[s] = min(place, least.get(s, place))
+        assert places[texts.owners(at)].tolist() == [least[s] for s in want]
+
+
 def test_bytes_of_documents_with_other_keys(spark):
     rows = [(None if k is None else f"k{k:04}", t) for k, t in repetitive(9)]
     docs = spark.createDataFrame(rows, "doc_id string, text string")
