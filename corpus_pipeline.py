@@ -12,6 +12,9 @@ from outlay.llm.substrings import drop_repeated_passages
 from outlay.llm.toxicity import drop_toxic
 from outlay.sources.scratch import new_table_path, scope
 
+# Pieces of text a worker keeps the ids of: the executors of a run have grown by its other stages.
+KNOWN_PIECES = 100_000
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, trained on the labels of the run, calls toxic go."""
@@ -35,7 +38,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All that is left, in sequences of 1024 ids."""
-    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0, known=KNOWN_PIECES)
 
 
 STAGES = [

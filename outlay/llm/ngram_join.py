@@ -32,7 +32,7 @@ MOST_FREQUENT = 1_000_000
 ROWS_AT_ONCE = 256
 PAIRS_AT_ONCE = 64
 PACKED_TOGETHER = 500_000  # shingles a task counts at a time
-BUCKET_BYTES = 16 << 20  # shingles of a bucket
+BUCKET_BYTES = 8 << 20  # shingles of a bucket
 
 
 def prefix_length(n: int, percent: int) -> int:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outlay.llm.common import arrow_rows, staged, text_of
-from outlay.llm.tokens import crc, encoder
+from outlay.llm.tokens import KNOWN, crc, encoder
 
 LENGTH = 1024
 GROUP = 4096  # documents whose ends are packed together
@@ -76,7 +76,9 @@ PIECES = (
 )
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id") -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", known: int = KNOWN
+) -> DataFrame:
     """Pieces of the documents' ids and their places in sequences of ``LENGTH`` ids.
 
     A document's ids are those of its text (null: none) and ``end_id``. It is cut every ``LENGTH``
@@ -87,13 +89,14 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id") -> D
 
     Ends meet in groups of about ``GROUP`` documents, dealt by a hash of the row, so a group's work
     and its one unfilled window are bounded and any number of groups run side by side. Only counts
-    and checksums are shuffled, no ids.
+    and checksums are shuffled, no ids. ``known``: pieces of text whose ids a process keeps
+    (:class:`tokens.Encoder`), which decides memory and time and nothing else.
     """
     id_type = docs.schema[key].dataType.simpleString()
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = encoder(tokenizer)
-        for batch in arrow_rows(batches, ROWS_AT_ONCE):
+        tokens = encoder(tokenizer, known)
+        for batch in arrow_rows(batches, ROWS_AT_ONCE, keeps=True):
             sizes, crcs = [], []
             for ids in tokens.ids(batch.column("text").to_pylist()):
                 ids = np.append(ids, end_id)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from outlay.llm.common import arrow_rows
+from outlay.llm.common import arrow_rows, give_back
 from outlay.llm.shingles import mix
 
 ROWS_AT_ONCE = 256
@@ -109,6 +109,8 @@ def recurring(
                           _ARROW[part[f].dtype.kind]) for f, _ in dtype],
                 [f for f, _ in dtype],
             )
+        del data, found, counted, heads, sizes, keep
+        give_back()
 
     schema = ", ".join(f"{f} {_SQL[np.dtype(t).kind]}" for f, t in dtype)
     return (

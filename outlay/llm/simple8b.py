@@ -194,7 +194,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
         part, number = TaskContext.get().partitionId(), 0
         keys, ids, held = [], [], 0
         tokens = encoder(tokenizer)
-        for batch in arrow_rows(batches, ROWS_AT_ONCE):
+        for batch in arrow_rows(batches, ROWS_AT_ONCE, keeps=True):
             found = tokens.ids(batch.column("text").to_pylist())
             for key, x in zip(batch.column("doc_id").to_pylist(), found, strict=True):
                 keys.append(key)
@@ -218,7 +218,7 @@ ROW = "part int, number int, doc_id bigint, before bigint, n_tokens bigint, ids_
 
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in arrow_rows(batches, 1):
+    for batch in arrow_rows(batches, 1, keeps=True):
         content = batch.column("content")[0].as_py()
         for part, number, keys, counts, ids in records(content):
             counts = counts.astype(np.int64)

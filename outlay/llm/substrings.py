@@ -581,10 +581,12 @@ def drop_repeated_passages(docs: DataFrame) -> DataFrame:
                 [batch.column("_row"), pa.array(new, pa.string())], ["_row", "new"]
             )
 
+    # Python gets the text once: the row without it, and gives back the new one beside that row.
+    gap = F.lit(None).cast(docs.schema["text"].dataType)
     changed = rows.join(spans.hint("merge"), ["_id", "_text"]).select(
-        "_row", F.col("_row.text").alias("text"), "spans"
+        F.col("_row").withField("text", gap).alias("_row"), F.col("_row.text").alias("text"), "spans"
     )
-    schema = rows.select("_row", F.lit("").alias("new")).schema
+    schema = changed.select("_row", F.lit("").alias("new")).schema
     edited = changed.mapInArrow(edit, schema).withColumn(
         "_row", F.col("_row").withField("text", F.col("new"))
     )

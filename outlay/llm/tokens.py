@@ -15,6 +15,8 @@ from itertools import chain
 import numpy as np
 import regex
 
+from outlay.llm.common import kept
+
 # The words byte-level BPE is applied to.
 BYTE_WORDS = (
     r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -33,9 +35,13 @@ def byte_letters() -> dict[int, str]:
 
 
 class Encoder:
-    """``ids(texts)``: an ``int`` array of ids a text, as ``Tokenizer.encode`` gives them."""
+    """``ids(texts)``: an ``int`` array of ids a text, as ``Tokenizer.encode`` gives them.
+
+    ``most``: pieces kept, of each of two generations; fewer cost time, and the ids are the same.
+    """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = KNOWN):
+        self.most = most
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -115,9 +121,9 @@ class Encoder:
         return out
 
     def _forget(self) -> None:
-        if len(self.pieces) > KNOWN:
+        if len(self.pieces) > self.most:
             self.pieces, self.older = {}, self.pieces
-        if len(self.words) > KNOWN:
+        if len(self.words) > self.most:
             self.words = {}
 
     def _learn_words(self, found: Iterable[str]) -> None:
@@ -157,14 +163,9 @@ class Encoder:
         return [np.frombuffer(b"".join(map(get, pieces)), np.uint32) for pieces in split]
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    """The encoder of a process, made once."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, most: int = KNOWN) -> Encoder:
+    """The encoder of a process, made once for tasks that follow each other."""
+    return kept((path, most), lambda: Encoder(path, most))
 
 
 def crc(ids: np.ndarray) -> int:
